@@ -66,9 +66,9 @@ def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float
     heat = prefix.groupBy("token").agg(F.count("*").alias("n"))
     hot = heat.filter(F.col("n") > hot_token).select("token", F.lit(splits).alias("parts"))
     salted = prefix.join(hot, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    left = salted.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).select(
+    left = salted.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).select(
         "token", "part", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))
-    right = salted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("bigint")).select(
+    right = salted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "token", "part", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
     need = (F.col("na") + F.col("nb")) * (t / (1 + t))
     # at the first shared token nothing before it is shared

@@ -201,8 +201,8 @@ def gen_user_events(ids: DataFrame, sessions: int | Column, users: int | Column,
 
 def fan_out(ids: DataFrame, times: int) -> DataFrame:
     """``times`` consecutive row ids for each id."""
-    steps = F.explode(F.sequence(F.lit(0), F.lit(times - 1)))
-    return ids.select((F.col("i") * times + steps.cast("bigint")).alias("i"))
+    steps = F.sequence(F.lit(0), F.lit(times - 1))
+    return ids.select("i", F.explode(steps).alias("step")).select((F.col("i") * times + F.col("step")).alias("i"))
 
 
 def gen_all(ids: DataFrame, seed: int = 1) -> dict[str, DataFrame]:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import stage
 from .schemas import LAYERS, schema_of
 
 CORRUPT = "_corrupt_record"
@@ -47,9 +48,12 @@ def csv_ingest(spark: SparkSession, path: str, table: str, header: list[str] | N
 
 
 def quarantine(spark: SparkSession, path: str, header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split a raw file into good rows and the text of malformed rows."""
-    raw = read_csv_raw(spark, path, header)
-    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, raw.columns[0])
+    """Split a raw file into good rows and the text of malformed rows.
+
+    The file is parsed once into a staged table that both parts read.
+    """
+    raw = stage(read_csv_raw(spark, path, header), "parsed")
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def typed_view(df: DataFrame, timestamps: list[str], dates: list[str] = ()) -> DataFrame:
