@@ -362,7 +362,7 @@ def queries() -> dict[str, Query]:
         "partition_retention": S(_retention), "table_row_counts": S(_row_counts), "ods_typed_view": S(_typed_view),
         "layered_tables": S(_layered),
         # basic queries
-        "filter_project_sort": S(lambda s: basic.customers_in_country(s.customers, "FRANCE")),
+        "filter_project_sort": S(lambda s: basic.customers_in_country(s.customers, "NATION_2")),
         "group_count": S(lambda s: basic.customers_per_country(s.customers)),
         "days_since_launch": S(lambda s: basic.days_since_launch(s.products, AS_OF)),
         "partition_filter": S(lambda s: basic.orders_in_partition(s.month_of_orders(BIZDATE), BIZDATE)),
@@ -402,7 +402,7 @@ def queries() -> dict[str, Query]:
         "snapshot_change_detect": S(_changes),
         "snapshot_change_detect_v2": S(lambda s: etl.snapshot_change_detect(s.customers, s.shop_customers_prev, "v2")),
         "snapshot_change_null_safe": S(lambda s: etl.snapshot_change_detect(
-            s.dirty_customers.dropDuplicates(["customer_id"]).withColumn("email", F.when(F.col("customer_id") % 37 != 0, F.col("email"))),
+            s.customers.withColumn("email", F.when(F.col("customer_id") % 37 != 0, F.col("email"))),
             s.customers, null_safe=True).select("customer_id", "change_type")),
         "snapshot_self_diff": S(lambda s: etl.snapshot_change_detect(s.customers, s.customers, "v2")),
         "dq_metrics_v1": S(lambda s: etl.dq_metrics(s.dirty_customers, s.dirty_orders, s.dirty_products, BIZDATE, "v1")),

@@ -71,7 +71,18 @@ _CLEAN1 = {
     "all": _sq(_sub(_sub(_sub(_sub(_sub("text", _TAG), _AT), _TEL), _URL), _PUNCT)),
 }
 _HTML2 = _sq(_sub("text", _TAG, " "))
-_ALL2 = _sq(_sub(_sub(_sub("text", _TAG, " "), r"\S+@\S+\.\S+"), r"\b[\d\-\(\)\+\s]{7,}\b"))
+# \b knows only ASCII letters in this engine: spell the accented ones out and back
+_ACCENTS = {x: f"Qq{chr(97 + i)}qQ" for i, x in enumerate("ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü")}
+
+
+def _chain(c: str, pairs: list[tuple[str, str]]) -> str:
+    for old, new in pairs:
+        c = f"replace({c},'{old}','{new}')"
+    return c
+
+
+_MAILLESS = _sub(_sub("text", _TAG, " "), r"\S+@\S+\.\S+")
+_ALL2 = _sq(_chain(_sub(_chain(_MAILLESS, list(_ACCENTS.items())), r"\b[\d\-\(\)\+\s]{7,}\b"), [(v, k) for k, v in _ACCENTS.items()]))
 
 
 def _clean(expr: str) -> str:
@@ -154,7 +165,7 @@ def _shape(v1: bool) -> str:
     cols = f"""doc_id, {f"nullif({num},'')" if v1 else num} extract_numbers, md5(reverse(text)) as reverse,
         {f"len({_split('text')})::varchar" if v1 else f"if({_jtrim('text')}='',0,len({_split('text')}))::varchar"} word_count"""
     if v1:
-        cols += f""", md5({_sub('text', '[^a-zA-Z]')}) extract_letters, md5(upper(text)) as upper, md5(lower(text)) as lower, length(text)::varchar char_count"""
+        cols += f""", md5({_sub('text', '[^a-zA-Z]')}) extract_letters, md5(upper(replace(text,'ß','SS'))) as upper, md5(lower(text)) as lower, length(text)::varchar char_count"""
     return _TEXT + f"select {cols} from shop_text"
 
 

@@ -100,12 +100,17 @@ def product_order_facts(items: DataFrame, orders: DataFrame) -> DataFrame:
     # one customer per order; orders missing from the table leave NULL
     buyers = orders.groupBy("order_id").agg(F.max("customer_id").alias("customer_id")).withColumn("known", F.lit(True))
     return per_order.join(buyers, "order_id", "left").groupBy("product_id").agg(
-        F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue"),
+        F.sum("quantity").alias("quantity"), F.sum("revenue").cast("decimal(28,8)").alias("revenue"),
         ratio(F.sum("prices"), F.sum("priced_lines")).alias("avg_price"),
         count_if(F.col("known")).alias("orders_count"), F.countDistinct("customer_id").alias("unique_customers"),
     )
 
 
+def profit() -> Column:
+    """Revenue less cost of the units sold; the cast keeps all decimals."""
+    return F.col("revenue") - F.col("quantity").cast("decimal(14,0)") * F.col("cost")
+
+
 def product_sales_report(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     facts = product_order_facts(items, orders).filter(F.col("quantity") > 0)
     return (
@@ -114,7 +119,7 @@ def product_sales_report(products: DataFrame, items: DataFrame, orders: DataFram
                 F.col("orders_count").alias("orders_containing_product"),
                 F.col("quantity").alias("total_quantity_sold"), dbl("revenue").alias("total_revenue"),
                 F.col("avg_price").alias("avg_selling_price"), dbl("cost").alias("cost"),
-                dbl(F.col("revenue") - F.col("quantity") * F.col("cost")).alias("total_profit"))
+                dbl(profit()).alias("total_profit"))
         .orderBy(F.desc("total_revenue"), "product_id")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio, total
 from ..operators.ordered import number_rows
-from .analytics import customer_spend, product_order_facts
+from .analytics import customer_spend, product_order_facts, profit
 
 
 # ---- sales ---------------------------------------------------------------
@@ -113,13 +113,12 @@ def customer_segments(customers: DataFrame, orders: DataFrame, as_of: str, varia
 
 def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     zero = F.lit(0)
-    cost = F.col("cost")
     m = products.select("product_id", "product_name", "category", "cost").join(
         product_order_facts(items, orders), "product_id", "left"
     ).select(
         "product_id", "product_name", "category", F.coalesce("quantity", zero).alias("total_quantity_sold"),
         F.coalesce("revenue", zero).alias("revenue"),
-        F.coalesce(F.col("revenue") - F.col("quantity") * cost, zero).alias("profit"),
+        F.coalesce(profit(), zero).alias("profit"),
         F.coalesce("orders_count", zero).alias("orders_count"),
         F.coalesce("unique_customers", zero).alias("unique_customers"),
         F.coalesce("avg_price", F.lit(0.0)).alias("avg_selling_price"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
-from .analytics import customer_spend, product_order_facts, spend_by_customer
+from .analytics import product_order_facts, profit, spend_by_customer
 
 
 def top_customers(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
@@ -48,7 +48,7 @@ def underperforming_products(products: DataFrame, items: DataFrame, orders: Data
     """Margin per product; flagged when unsold, thin or slow."""
     m = products.select("product_id", "product_name", "category", "cost").join(
         product_order_facts(items, orders), "product_id", "left")
-    margin = F.try_divide(dbl(F.col("revenue") - F.col("quantity") * F.col("cost")) * 100.0, dbl("revenue"))
+    margin = F.try_divide(dbl(profit()) * 100.0, dbl("revenue"))
     flag = label([(F.col("revenue").isNull(), "NO_SALES"), (margin < min_margin, "LOW_MARGIN"),
                   (dbl("revenue") < min_revenue, "LOW_REVENUE")], "OK")
     return m.select("product_id", "product_name", "category", F.coalesce(dbl("revenue"), F.lit(0.0)).alias("total_revenue"),
