@@ -24,11 +24,11 @@ def token_sets(docs: DataFrame, id_col: str, tokens_sql: str) -> DataFrame:
 def fold_equal_sets(sets: DataFrame) -> DataFrame:
     """(id, rep, size): ``rep`` is the lowest id with the same token set.
 
-    The key is a 128-bit digest pair of the sorted set; hot sets aggregate
-    before the shuffle and join back as one row per set.
+    The key is a SHA-256 digest of the sorted set.  A set with very many copies
+    aggregates before the shuffle and joins back as one row.
     """
     joined = F.concat_ws(" ", F.array_sort("tokens"))
-    keyed = sets.select("id", F.sha2(joined, 256).alias("digest"), F.size("tokens").alias("size"))
+    keyed = stage(sets.select("id", F.sha2(joined, 256).alias("digest"), F.size("tokens").alias("size")), "digests")
     reps = keyed.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     return keyed.join(reps, "digest").select("id", "rep", "size", "copies")
 
@@ -41,7 +41,7 @@ def _rare_first(tokens: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float = 0.5,
-                 hot_token: int = 20_000, splits: int = 16) -> DataFrame:
+                 hot_token: int = 20_000) -> DataFrame:
     """Pairs with similarity above ``threshold``.
 
     Result rows (doc_a < doc_b, similarity, copies_a, copies_b):
@@ -61,10 +61,11 @@ def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float
     keep = F.col("size") - F.ceil(F.col("size") * t) + 1
     prefix = stage(ranked.filter(F.col("pos") < keep), "prefix")
 
-    # a token shared by very many prefixes is cut into splits on one side and
-    # copied to each split on the other, so no task holds the whole group
+    # a token shared by very many prefixes is cut into parts on one side and
+    # copied to each part on the other, so no task holds the whole group
     heat = prefix.groupBy("token").agg(F.count("*").alias("n"))
-    hot = heat.filter(F.col("n") > hot_token).select("token", F.lit(splits).alias("parts"))
+    hot = heat.filter(F.col("n") > hot_token).select(
+        "token", F.ceil(F.col("n") / hot_token).cast("int").alias("parts"))
     salted = prefix.join(hot, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     left = salted.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).select(
         "token", "part", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))

@@ -166,6 +166,9 @@ def mark_converted(sessions: DataFrame, orders: DataFrame, keys: tuple[str, ...]
     """
     on = [("_day" if k == "date" else k) for k in keys]
     days = orders.withColumn("_day", F.to_date("order_date")).select(*on).distinct().withColumn("converted", F.lit(True))
+    if keys == ("date",):
+        # one row per calendar day at most, while all sessions of a day share one key
+        days = F.broadcast(days)
     dated = sessions.withColumn("_day", F.to_date("session_start"))
     return dated.join(days, on, "left").withColumn("converted", F.coalesce("converted", F.lit(False))).drop("_day")
 

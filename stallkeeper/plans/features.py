@@ -24,7 +24,7 @@ def aov_by_country(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def inactive_customers(customers: DataFrame, orders: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    recent = orders.filter(F.to_date("order_date") >= since).select("customer_id")
+    recent = orders.filter(F.to_date("order_date") >= since).select("customer_id").distinct()
     return customers.select("customer_id", "first_name", "last_name", "country").join(recent, "customer_id", "left_anti")
 
 

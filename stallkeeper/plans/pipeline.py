@@ -25,12 +25,11 @@ def daily_pipeline(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     written: list[tuple[str, str, str, str]] = []
 
     def publish(layer: str, table: str, part: str, df: DataFrame, stamp: str | None = None) -> DataFrame:
-        path = f"{root}/{layer}/{table}"
+        path, started = f"{root}/{layer}/{table}", datetime.now()
         df = df.withColumn(stamp, F.lit(run_ts)) if stamp else df
         overwrite_partition(conform(df.withColumn("ds", F.lit(part)), layer, table), path, part)
         out = read_table(spark, path).filter(F.col("ds") == part)
-        started = run_ts
-        log_job(spark, f"{root}/ads/etl_job_status", part, table, layer.upper(), started, started, out)
+        log_job(spark, f"{root}/ads/etl_job_status", part, table, layer.upper(), started, datetime.now(), out)
         written.append((layer, table, path, part))
         return out
 

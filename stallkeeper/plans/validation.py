@@ -191,7 +191,7 @@ def table_assertions(customers: DataFrame, orders: DataFrame, items: DataFrame,
                      segments: DataFrame, performance: DataFrame, assessment: DataFrame,
                      expected_customers: int, expected_products: int) -> DataFrame:
     n = F.count("*")
-    homeless = items.select("order_id").join(orders.select("order_id"), "order_id", "left_anti")
+    homeless = items.select("order_id").join(orders.select("order_id").distinct(), "order_id", "left_anti")
     checks = [
         assertion("customers.customer_id not null", customers, count_if(F.col("customer_id").isNull()), 0),
         assertion("orders.order_id not null", orders, count_if(F.col("order_id").isNull()), 0),
