@@ -15,16 +15,17 @@ CORRUPT = "_corrupt_record"
 
 # ---- raw files -----------------------------------------------------------
 
-def read_csv_raw(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """All fields as text plus ``_corrupt_record`` for rows of the wrong length.
+def read_csv_raw(spark: SparkSession, path: str, header: list[str] | None = None, keep_bad: bool = True) -> DataFrame:
+    """All fields as text; rows of the wrong length fill ``_corrupt_record``
+    or, without ``keep_bad``, are left out.
 
     ``header`` names the fields of files without a header line.
     """
     names = header or spark.read.option("header", True).csv(path).columns
-    fields = [StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())]
+    fields = [StructField(n, StringType()) for n in names] + ([StructField(CORRUPT, StringType())] if keep_bad else [])
     reader = (
         spark.read.schema(StructType(fields)).option("header", header is None).option("quote", '"')
-        .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("escape", '"').option("mode", "PERMISSIVE" if keep_bad else "DROPMALFORMED").option("columnNameOfCorruptRecord", CORRUPT)
         # a row's length is only checked when all fields are parsed
         .option("columnPruning", False)
     )
@@ -42,7 +43,7 @@ def bind_schema(raw: DataFrame, schema: StructType) -> DataFrame:
 
 def csv_ingest(spark: SparkSession, path: str, table: str, header: list[str] | None = None) -> DataFrame:
     """Well-formed rows of a raw file in the declared schema (without ``ds``)."""
-    raw = read_csv_raw(spark, path, header).filter(F.col(CORRUPT).isNull())
+    raw = read_csv_raw(spark, path, header, keep_bad=False)
     schema = StructType([f for f in schema_of("ods", table).fields if f.name != "ds"])
     return bind_schema(raw, schema)
 
