@@ -17,7 +17,7 @@ from stallkeeper.operators import rules  # noqa: E402
 from stallkeeper.plans import (  # noqa: E402
     analytics, basic, etl, features, pipeline, quality, text_jobs, validation,
 )
-from stallkeeper.session import staging_path  # noqa: E402
+from stallkeeper.session import spread, staging_path  # noqa: E402
 from stallkeeper.sources import schemas, synth, tables  # noqa: E402
 from stallkeeper.sources.adapters import AS_OF, BIZDATE, WEB_DATE, Shop  # noqa: E402
 from stallkeeper.streaming import jobs as streams  # noqa: E402
@@ -237,6 +237,10 @@ def _assertions(s: Shop) -> DataFrame:
 
 # ---- text ---------------------------------------------------------------------
 
+def _texts(s: Shop) -> DataFrame:
+    return spread(s.shop_text)
+
+
 def _string_utils(s: Shop, variant: str) -> DataFrame:
     name = f"string_utils_{variant}"
     sqlfuncs.register_string_utils(s.spark, variant, name)
@@ -253,7 +257,7 @@ def _text_functions(s: Shop, variant: str) -> DataFrame:
     p = f"t{variant}_"
     sqlfuncs.register_text_functions(s.spark, variant, p)
     top = "" if variant == "v1" else ", 3"
-    return s.shop_text.selectExpr(
+    return _texts(s).selectExpr(
         "doc_id", f"{p}sentiment(text) sentiment", f"{p}keywords(text{top}) keywords",
         f"{p}similarity(text, left(text, 100)) self_similarity", f"{p}word_count(text) words",
         f"{p}language_detect(text) language", f"md5({p}clean(text, 'html')) cleaned")
@@ -261,21 +265,21 @@ def _text_functions(s: Shop, variant: str) -> DataFrame:
 
 def _clean(variant: str, mode: str = "all") -> Query:
     def run(s: Shop) -> DataFrame:
-        df = text_jobs.corpus_clean(s.shop_text, mode, variant)
+        df = text_jobs.corpus_clean(_texts(s), mode, variant)
         return df.select("doc_id", "source", "changed", F.length("clean_text").alias("chars"), F.md5("clean_text").alias("digest"))
     return _shop(run)
 
 
 def _shape(variant: str) -> Query:
     def run(s: Shop) -> DataFrame:
-        df = text_jobs.text_shape(s.shop_text, "doc_id", "text", variant)
+        df = text_jobs.text_shape(_texts(s), "doc_id", "text", variant)
         return df.select(*[F.md5(c).alias(c) if c in ("reverse", "upper", "lower", "extract_letters") else c for c in df.columns])
     return _shop(run)
 
 
 def _similar(variant: str) -> Query:
     return _shop(lambda s: text_jobs.text_similarity_pairs(
-        s.shop_text, text_jobs.next_document_pairs(s.base("documents")), variant))
+        _texts(s), text_jobs.next_document_pairs(s.base("documents")), variant))
 
 
 # ---- generated data -------------------------------------------------------------
@@ -451,30 +455,30 @@ def queries() -> dict[str, Query]:
         "category_price_stats": S(lambda s: validation.category_price_stats(s.products)),
         "health_summary": S(lambda s: validation.health_summary(s.dirty_customers, s.products, s.dirty_orders)),
         # text
-        "corpus_sentiment": S(lambda s: text_jobs.corpus_sentiment(s.shop_text, "v1")),
-        "corpus_sentiment_v2": S(lambda s: text_jobs.corpus_sentiment(s.shop_text, "v2")),
-        "sentiment_by_language": S(lambda s: text_jobs.sentiment_by_language(s.shop_text, "v1")),
-        "corpus_keywords": S(lambda s: text_jobs.corpus_keywords(s.shop_text, "v1")),
-        "corpus_keywords_v2": S(lambda s: text_jobs.corpus_keywords(s.shop_text, "v2", 3)),
+        "corpus_sentiment": S(lambda s: text_jobs.corpus_sentiment(_texts(s), "v1")),
+        "corpus_sentiment_v2": S(lambda s: text_jobs.corpus_sentiment(_texts(s), "v2")),
+        "sentiment_by_language": S(lambda s: text_jobs.sentiment_by_language(_texts(s), "v1")),
+        "corpus_keywords": S(lambda s: text_jobs.corpus_keywords(_texts(s), "v1")),
+        "corpus_keywords_v2": S(lambda s: text_jobs.corpus_keywords(_texts(s), "v2", 3)),
         "text_similarity_pairs": _similar("v1"), "text_similarity_pairs_v2": _similar("v2"),
-        "text_similarity_join": S(lambda s: text_jobs.text_similarity_join(s.base("documents"))),
-        "corpus_word_count": S(lambda s: text_jobs.corpus_word_count(s.shop_text, "v1")),
-        "corpus_word_count_v2": S(lambda s: text_jobs.corpus_word_count(s.shop_text, "v2")),
-        "corpus_language_profile": S(lambda s: text_jobs.corpus_language_profile(s.shop_text, "v1")),
-        "corpus_language_profile_v2": S(lambda s: text_jobs.corpus_language_profile(s.shop_text, "v2")),
+        "text_similarity_join": S(lambda s: text_jobs.text_similarity_join(spread(s.base("documents")))),
+        "corpus_word_count": S(lambda s: text_jobs.corpus_word_count(_texts(s), "v1")),
+        "corpus_word_count_v2": S(lambda s: text_jobs.corpus_word_count(_texts(s), "v2")),
+        "corpus_language_profile": S(lambda s: text_jobs.corpus_language_profile(_texts(s), "v1")),
+        "corpus_language_profile_v2": S(lambda s: text_jobs.corpus_language_profile(_texts(s), "v2")),
         "corpus_clean": _clean("v1"), "corpus_clean_v2": _clean("v2"), "corpus_clean_html": _clean("v1", "html"),
-        "clean_audit": S(lambda s: text_jobs.clean_audit(s.shop_text, "v1")),
+        "clean_audit": S(lambda s: text_jobs.clean_audit(_texts(s), "v1")),
         "name_standardize_job": S(lambda s: text_jobs.name_standardize(s.products, "product_id", "product_name", "v1")),
         "name_standardize_job_v2": S(lambda s: text_jobs.name_standardize(s.products, "product_id", "product_name", "v2")),
         "pii_mask_job": S(lambda s: text_jobs.pii_mask(s.dirty_customers, "customer_id", "country", variant="v1")),
         "pii_mask_job_v2": S(lambda s: text_jobs.pii_mask(s.dirty_customers, "customer_id", "country", variant="v2")),
         "pii_mask_counts": S(lambda s: text_jobs.pii_mask_counts(
             text_jobs.pii_mask(s.dirty_customers, "customer_id", "country"), "country")),
-        "pii_mask_text": S(lambda s: text_jobs.mask_text_emails(s.shop_text).select(
+        "pii_mask_text": S(lambda s: text_jobs.mask_text_emails(_texts(s)).select(
             "doc_id", "changed", F.md5("masked_text").alias("digest"))),
         "contact_validation_report": S(lambda s: text_jobs.contact_validation(s.dirty_customers, "country")),
         "text_shape_job": _shape("v1"), "text_shape_job_v2": _shape("v2"),
-        "text_shape_summary": S(lambda s: text_jobs.text_shape_summary(s.shop_text, "text", "source")),
+        "text_shape_summary": S(lambda s: text_jobs.text_shape_summary(_texts(s), "text", "source")),
         "string_utils_sql": S(lambda s: _string_utils(s, "v1")), "string_utils_sql_v2": S(lambda s: _string_utils(s, "v2")),
         "text_functions_sql": S(lambda s: _text_functions(s, "v1")),
         "text_functions_sql_v2": S(lambda s: _text_functions(s, "v2")),

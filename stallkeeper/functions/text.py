@@ -10,8 +10,9 @@ from pyspark.sql import Column, functions as F
 
 from .strings import drop, lit
 
-# A word is a run of letters, digits and underscores of any script.
-WORD = r"[\p{L}\p{N}_]+"
+# A word is a run of letters, digits and underscores of any script.  The plain
+# range first lets the matcher skip the Unicode lookup for most characters.
+WORD = r"[a-z0-9_\p{L}\p{N}]+"
 
 # Word lists of the published text functions.
 POSITIVE_V1 = """good great excellent amazing wonderful fantastic awesome perfect love like best brilliant

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, ratio, total
 from ..operators.ordered import (
-    ntile, number_rows, running_and_neighbours, with_neighbours, with_ranks,
+    ntile, number_rows, running_and_neighbours, with_next, with_ranks,
 )
 
 
@@ -68,7 +68,7 @@ def customer_spend_ranks(customers: DataFrame, orders: DataFrame, block_rows: in
     spend = customer_spend(customers.select("customer_id", "first_name", "last_name"), orders).select(
         "customer_id", "first_name", "last_name", F.coalesce("spent", F.lit(0)).alias("spent")
     )
-    ordered = number_rows(spend, [F.desc("spent"), F.asc("customer_id")], block_rows)
+    ordered = number_rows(spend, [F.desc("spent"), F.asc("customer_id")], block_rows, at_most=customers)
     return with_ranks(ordered, "spent").select(
         "customer_id", "first_name", "last_name", dbl("spent").alias("total_spent"),
         F.col("rn").alias("spending_rank"), F.col("rank").alias("spending_rank_with_ties"),
@@ -78,7 +78,7 @@ def customer_spend_ranks(customers: DataFrame, orders: DataFrame, block_rows: in
 
 def running_and_moving(orders: DataFrame, from_ds: str, block_rows: int | None = None) -> DataFrame:
     picked = orders.filter(F.col("ds") >= from_ds).select("order_id", "order_date", "total_amount")
-    ordered = number_rows(picked, [F.asc("order_date"), F.asc("order_id")], block_rows)
+    ordered = number_rows(picked, [F.asc("order_date"), F.asc("order_id")], block_rows, at_most=orders)
     out = running_and_neighbours(ordered, "total_amount", "running_total", "moving_avg_3_orders", 3,
                                  "prev_order_amount", "next_order_amount")
     return out.select(
@@ -164,11 +164,8 @@ def same_city_pairs(customers: DataFrame, block_rows: int | None = None) -> Data
     its pairs, and ``sum(later_partners)`` is the number of pairs.  Use
     ``same_city_partners`` to list the pairs of chosen customers.
     """
-    ordered = number_rows(_residents(customers), [F.asc("place"), F.asc("customer_id")], block_rows)
-    w = Window.partitionBy("_home").orderBy("rn")
-    linked = with_neighbours(ordered, back=0, ahead=1).withColumn(
-        "nxt", F.lead(F.struct("place", "customer_id", "name")).over(w)
-    ).filter("_own").drop("_home", "_own", "_block")
+    ordered = number_rows(_residents(customers), [F.asc("place"), F.asc("customer_id")], block_rows, at_most=customers)
+    linked = with_next(ordered, F.struct("place", "customer_id", "name"), "nxt")
     ends = ordered.rows.groupBy("place").agg(F.max("rn").alias("last"))
     return (
         linked.filter(F.col("nxt.place") == F.col("place")).join(ends, "place")

@@ -123,7 +123,7 @@ def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame
         F.coalesce("unique_customers", zero).alias("unique_customers"),
         F.coalesce("avg_price", F.lit(0.0)).alias("avg_selling_price"),
     )
-    ranked = number_rows(m, [F.desc("revenue"), F.asc("product_id")]).rows
+    ranked = number_rows(m, [F.desc("revenue"), F.asc("product_id")], at_most=products).rows
     rank, revenue = F.col("rn"), F.col("revenue")
     tier = label([(rank <= 5, "Top Performer"), (rank <= 20, "Good Performer"), (rank <= 50, "Average Performer"),
                   (revenue > 0, "Under Performer")], "No Sales")
@@ -149,7 +149,7 @@ def page_rank_by_views(page_views: DataFrame, ds: str) -> DataFrame:
     pages = page_views.filter(F.col("ds") == ds).groupBy("page_url").agg(
         F.countDistinct("session_id").alias("sessions_with_views"), F.count("*").alias("total_views")
     )
-    rows = number_rows(pages, [F.desc("total_views"), F.asc("page_url")]).rows
+    rows = number_rows(pages, [F.desc("total_views"), F.asc("page_url")], at_most=page_views).rows
     return rows.withColumnRenamed("rn", "page_rank")
 
 

@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import label
-from ..sources.tables import conform, log_job, overwrite_partition, read_table
+from ..sources.schemas import schema_of
+from ..sources.tables import append_partition, conform, overwrite_partition
 from . import etl, quality
 
 # Service limits of the daily run, in seconds.
@@ -22,15 +23,16 @@ def daily_pipeline(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     """
     t = tables
     run_ts = run_ts or datetime.fromisoformat(f"{as_of}T00:00:00")
-    written: list[tuple[str, str, str, str]] = []
+    written: list[tuple[str, str, str, DataFrame]] = []
+    log: list[tuple] = []
 
     def publish(layer: str, table: str, part: str, df: DataFrame, stamp: str | None = None) -> DataFrame:
         path, started = f"{root}/{layer}/{table}", datetime.now()
         df = df.withColumn(stamp, F.lit(run_ts)) if stamp else df
         overwrite_partition(conform(df.withColumn("ds", F.lit(part)), layer, table), path, part)
-        out = read_table(spark, path).filter(F.col("ds") == part)
-        log_job(spark, f"{root}/ads/etl_job_status", part, table, layer.upper(), started, datetime.now(), out)
-        written.append((layer, table, path, part))
+        out = spark.read.schema(schema_of(layer, table)).parquet(path).filter(F.col("ds") == part)
+        written.append((layer, table, part, out))
+        log.append((table, layer.upper(), started, datetime.now(), "SUCCESS", None))
         return out
 
     assessment = publish("ads", "dq_assessment", ds, quality.dq_assessment(t, ds, variant), "assessment_date")
@@ -43,12 +45,15 @@ def daily_pipeline(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     publish("dwd", "daily_sales_summary", ds, etl.daily_sales_summary(t["sales_orders"], t["order_items"], t["products"], ds))
     publish("ads", "dq_daily_report", ds, quality.dq_daily_report(assessment, outliers, ds))
 
-    counts = [read_table(spark, path).filter(F.col("ds") == part).agg(
-        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(part).alias("ds"),
-        F.count("*").alias("row_count")) for layer, table, path, part in written]
+    counts = [df.agg(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(part).alias("ds"),
+                     F.count("*").alias("row_count")) for layer, table, part, df in written]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
+    jobs = spark.createDataFrame(
+        log, "job_name string, job_type string, start_time timestamp, end_time timestamp, status string, error_message string"
+    ).join(out.select(F.col("table_name").alias("job_name"), F.col("row_count").alias("records_processed")), "job_name")
+    append_partition(conform(jobs.withColumn("ds", F.lit(ds)), "ads", "etl_job_status"), f"{root}/ads/etl_job_status", ds)
     return out
 
 

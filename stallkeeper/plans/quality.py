@@ -146,23 +146,25 @@ def _quartiles(ranked: DataFrame, value: str, n: int) -> DataFrame:
     )
 
 
-def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount") -> DataFrame:
+def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount",
+                  block_rows: int | None = None) -> DataFrame:
     picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)])
+    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows, at_most=orders)
     stats = _quartiles(ordered.rows, value, ordered.n)
     return stats.select(F.col("n").alias("total_records"), F.round("mean_value", 6).alias("mean_amount"),
                         F.round("stddev_value", 6).alias("stddev_amount"),
                         *[F.round(dbl(c), 6).alias(c) for c in ("q1", "q3", "lower_fence", "upper_fence")])
 
 
-def outlier_detect(orders: DataFrame, key: str = "order_id", value: str = "total_amount", table: str = "orders") -> DataFrame:
+def outlier_detect(orders: DataFrame, key: str = "order_id", value: str = "total_amount", table: str = "orders",
+                   block_rows: int | None = None) -> DataFrame:
     """Rows far from the mean or outside the quartile fences.
 
     One global order yields the quartiles and the percent rank; the statistics
     are a single row, read as a scalar.
     """
     picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)])
+    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows, at_most=orders)
     stats = _quartiles(ordered.rows, value, ordered.n)
     ranked = with_ranks(ordered, value).withColumn("st", stats.select(F.struct("*")).scalar())
     x, lo, hi = F.col(value), F.col("st.lower_fence"), F.col("st.upper_fence")
