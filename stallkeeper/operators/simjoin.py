@@ -5,7 +5,8 @@ then matched through their rare tokens only (prefix filtering): sets of size
 x and y with similarity of at least t share ceil(t/(1+t)*(x+y)) tokens, so one
 of the first x-ceil(t*x)+1 tokens in rare-first order is shared.  Size and
 position bounds are part of the join condition, so hopeless pairs are never
-written; survivors are verified on their full sets.
+written.  A parity bitmap of each set then bounds the difference of a pair from
+below, and only what is left is verified on the full sets.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
 
+_WORDS = 32  # 2048 bits
+
 
 def token_sets(docs: DataFrame, id_col: str, tokens_sql: str) -> DataFrame:
     """(id, tokens) with distinct tokens, documents without words left out."""
@@ -40,6 +43,20 @@ def _rare_first(tokens: DataFrame) -> DataFrame:
     return tokens.join(freq, "token").withColumn("pos", F.row_number().over(w) - 1)
 
 
+def parity_bitmaps(sets: DataFrame) -> DataFrame:
+    """(rep, w0..w31): bit i is the parity of the tokens hashed to i.
+
+    A bit that differs between two sets needs a token only one of them has, so
+    differing bits never exceed the size of the symmetric difference.
+    """
+    slot = sets.select("rep", F.explode("tokens").alias("token")).select(
+        "rep", F.pmod(F.xxhash64("token"), F.lit(64 * _WORDS)).cast("int").alias("slot"))
+    bit = F.expr("shiftleft(1L, slot % 64)")
+    word = F.expr("slot div 64")
+    return slot.groupBy("rep").agg(*[
+        F.coalesce(F.bit_xor(F.when(word == k, bit)), F.lit(0)).alias(f"w{k}") for k in range(_WORDS)])
+
+
 def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float = 0.5,
                  hot_token: int = 20_000) -> DataFrame:
     """Pairs with similarity above ``threshold``.
@@ -78,9 +95,18 @@ def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float
         (F.col("a") < F.col("b")) & (F.col("na") > F.col("nb") * t) & (F.col("nb") > F.col("na") * t) & (reach > need)
     ).select("a", "b").distinct()
 
+    maps = stage(parity_bitmaps(sets).join(sets.select("rep", "size"), "rep"), "bitmaps")
+    side = lambda s: maps.select(F.col("rep").alias(s), F.struct("size", *[f"w{k}" for k in range(_WORDS)]).alias(f"m{s}"))
+    differ = sum((F.bit_count(F.col(f"ma.w{k}").bitwiseXOR(F.col(f"mb.w{k}"))) for k in range(_WORDS)), F.lit(0))
+    both_sizes = F.col("ma.size") + F.col("mb.size")
+    # shared tokens are at most half of what the differing bits leave
+    likely = candidates.join(side("a"), "a").join(side("b"), "b").filter(
+        both_sizes - differ > both_sizes * (2 * t / (1 + t))
+    ).select("a", "b")
+
     body = sets.select("rep", "tokens", "copies")
     checked = (
-        candidates
+        likely
         .join(body.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"), F.col("copies").alias("copies_a")), "a")
         .join(body.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"), F.col("copies").alias("copies_b")), "b")
         .withColumn("both", F.size(F.array_intersect("ta", "tb")))

@@ -90,20 +90,20 @@ def running_and_moving(orders: DataFrame, from_ds: str, block_rows: int | None =
 def product_order_facts(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales per product.
 
-    Lines are first reduced to one row per (product, order), so the join with
-    orders is narrow and a best-seller is spread over its orders.
+    Sums are partially aggregated in the scan, so only one row per product
+    and map task is shuffled.  Only (product, order) keys travel to the join
+    with orders; a best-seller is spread over its orders there.
     """
-    per_order = items.groupBy("product_id", "order_id").agg(
+    sums = items.groupBy("product_id").agg(
         F.sum("quantity").alias("quantity"), F.sum("line_total").alias("revenue"),
-        F.sum("unit_price").alias("prices"), F.count("unit_price").alias("priced_lines"),
+        ratio(F.sum("unit_price"), F.count("unit_price")).alias("avg_price"),
     )
     # one customer per order; orders missing from the table leave NULL
     buyers = orders.groupBy("order_id").agg(F.max("customer_id").alias("customer_id")).withColumn("known", F.lit(True))
-    return per_order.join(buyers, "order_id", "left").groupBy("product_id").agg(
-        F.sum("quantity").alias("quantity"), F.sum("revenue").cast("decimal(28,8)").alias("revenue"),
-        ratio(F.sum("prices"), F.sum("priced_lines")).alias("avg_price"),
-        count_if(F.col("known")).alias("orders_count"), F.countDistinct("customer_id").alias("unique_customers"),
-    )
+    links = items.select("product_id", "order_id").distinct().join(buyers, "order_id", "left")
+    reach = links.groupBy("product_id").agg(
+        count_if(F.col("known")).alias("orders_count"), F.countDistinct("customer_id").alias("unique_customers"))
+    return sums.join(reach, "product_id")
 
 
 def profit() -> Column:
