@@ -266,7 +266,7 @@ def _text_functions(s: Shop, variant: str) -> DataFrame:
 def _clean(variant: str, mode: str = "all") -> Query:
     def run(s: Shop) -> DataFrame:
         df = text_jobs.corpus_clean(_texts(s), mode, variant)
-        return df.select("doc_id", "source", "changed", F.length("clean_text").alias("chars"), F.md5("clean_text").alias("digest"))
+        return df.select("doc_id", "source", "changed", F.length("clean_text").cast("bigint").alias("chars"), F.md5("clean_text").alias("digest"))
     return _shop(run)
 
 

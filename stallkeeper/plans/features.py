@@ -38,7 +38,7 @@ def top_products_per_category(products: DataFrame, items: DataFrame, k: int = 3)
     w = Window.partitionBy("category").orderBy(F.desc("revenue"), "product_id")
     return (
         products.select("product_id", "product_name", "category").join(revenue, "product_id")
-        .withColumn("category_rank", F.row_number().over(w)).filter(F.col("category_rank") <= k)
+        .withColumn("category_rank", F.row_number().over(w).cast("bigint")).filter(F.col("category_rank") <= k)
         .select("category", "category_rank", "product_id", "product_name", dbl("revenue").alias("total_revenue"))
     )
 

@@ -32,6 +32,10 @@ def _table(names, rows):
     return [names[i] for i in order], Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+_KIND = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+         "TIMESTAMP": "timestamp", "DATE": "date"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
@@ -47,6 +51,10 @@ def difference(spark, con, sf_dir: str, key: str, sql: str) -> str:
     want_names, want = _table([d[0] for d in rel.description], rel.fetchall())
     if names != want_names:
         return f"columns {names} vs {want_names}"
+    kinds = {d[0]: _KIND.get(str(d[1]).upper(), str(d[1])) for d in rel.description}
+    off = {c: (t, kinds[c]) for c, t in df.dtypes if t.removesuffix("_ntz") != kinds[c]}
+    if off:
+        return f"types {off}"
     if got != want:
         a, b = list((got - want).elements()), list((want - got).elements())
         return f"{len(a)} only in Spark, {len(b)} only in SQL\n   {sorted(a)[:2]}\n   {sorted(b)[:2]}"
