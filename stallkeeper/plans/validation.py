@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import count_if, dbl, mean
 from ..functions.strings import EMAIL_PATTERN
 
+# Notes of two checks.
 NOTE_PRUNING = "Should execute quickly with partition pruning"
 NOTE_LOOKUP = "Should execute quickly with proper indexing"
 
