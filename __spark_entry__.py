@@ -22,6 +22,14 @@ from stallkeeper.sources import schemas, synth, tables  # noqa: E402
 from stallkeeper.sources.adapters import AS_OF, BIZDATE, WEB_DATE, Shop  # noqa: E402
 from stallkeeper.streaming import jobs as streams  # noqa: E402
 
+try:  # the subpackage and the pipeline may be absent
+    import corpus_pipeline
+    from stallkeeper.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "stallkeeper.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 RETENTION_AS_OF = "2001-08-02"
 CUTOFF = "2001-03-01"
@@ -508,8 +516,15 @@ def queries() -> dict[str, Query]:
         "copurchase_features": S(lambda s: features.copurchase_features(s.order_items, features.best_sellers(s.order_items))),
         "churn_dataset": S(lambda s: features.churn_dataset(s.customers, s.orders, CUTOFF)),
     }
+    if llm_queries:
+        q |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return all_oracles()
+    sql = all_oracles()
+    if llm_queries:
+        sql |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
