@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -90,3 +91,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     return cur.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         cur.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``chars`` characters each."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, token_count, token_files, toxicity
+from . import jaccard_join, quality, token_count, token_files, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +32,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_toxicity": op3_toxicity,
         "op4_quality": op4_quality,
         "op6_token_counts": op6_token_counts,
         "op8_token_files": op8_token_files,
+        "op9_jaccard_join": op9_jaccard_join,
     }
 
 

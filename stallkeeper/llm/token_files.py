@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import stage, staging_path
+from .common import slices
 
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<BqB")
@@ -124,18 +125,6 @@ class SegmentEncoder:
                 for f, r in zip(firsts, rest, strict=True)]
 
 
-def _slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``chars`` characters each."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 _ENCODERS: dict[str, SegmentEncoder] = {}
 
 
@@ -156,7 +145,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         end = np.asarray([end_id], enc.dtype).tobytes()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in _slices(texts):
+            for a, b in slices(texts):
                 out = [frame(i, np.frombuffer(ids + end, enc.dtype))
                        for i, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
