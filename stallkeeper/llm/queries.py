@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, quality, token_count, token_files, toxicity
+from . import embedding_dedup, jaccard_join, quality, token_count, token_files, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_toxicity": op3_toxicity,
@@ -43,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op6_token_counts": op6_token_counts,
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
