@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, jaccard_join, quality, token_count, token_files, toxicity
+from . import decontaminate, embedding_dedup, jaccard_join, quality, token_count, token_files, toxicity
+from . import oracle
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("version")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -42,6 +48,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op3_toxicity": op3_toxicity,
         "op4_quality": op4_quality,
         "op6_token_counts": op6_token_counts,
@@ -52,4 +59,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontamination": oracle.CONTAMINATION,
+    }
