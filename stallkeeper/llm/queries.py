@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, jaccard_join, quality, token_count, token_files, toxicity
+from . import decontaminate, embedding_dedup, jaccard_join, quality, secret_scan, token_count, token_files, toxicity
 from . import oracle
 from .common import table
 
@@ -29,6 +29,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op3_toxicity": op3_toxicity,
         "op4_quality": op4_quality,
+        "op5_secret_scan": op5_secret_scan,
         "op6_token_counts": op6_token_counts,
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
