@@ -153,3 +153,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed_items).cast("bigint").alias("n_items"),
                       F.sha2(F.concat_ws(",", listed_items), 256).alias("items_sha256"),
                       ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), "version")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
+    """The documents, all their columns, that are not contaminated."""
+    bad = stage(contamination(docs, benchmark, size, share).filter("contaminated").select(
+        F.col("doc_id").alias("_d"), F.col("version").alias("_v")).distinct(), "contaminated")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_v"))
+    return docs.join(small_side(bad), same, "left_anti")

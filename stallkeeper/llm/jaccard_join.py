@@ -248,7 +248,7 @@ def _with_class(posts: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest of their class, all columns; rows without doc_id stay."""
-    keep = stage(jaccard_classes(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct(), "kept")
+    keep = stage(jaccard_classes(docs, k, percent).filter("doc_id = component_id").select(
+        F.col("doc_id").alias("_kept")).distinct(), "kept")
     mine = F.col("doc_id").cast("bigint")
-    return docs.filter(mine.isNull()).unionByName(docs.join(
-        keep.select(F.col("doc_id").alias("kept_doc_id")), mine == F.col("kept_doc_id"), "left_semi"))
+    return docs.join(small_side(keep), mine == F.col("_kept"), "left").filter(mine.isNull() | F.col("_kept").isNotNull()).select(*docs.columns)

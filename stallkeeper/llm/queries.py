@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, jaccard_join, quality, secret_scan, token_count, token_files, toxicity
+from . import decontaminate, embedding_dedup, jaccard_join, lattice, quality, secret_scan, token_count, token_files, toxicity
 from . import oracle
 from .common import table
 
@@ -37,6 +37,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = token_files.token_file_index(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
         "op4_quality": op4_quality,
         "op5_secret_scan": op5_secret_scan,
         "op6_token_counts": op6_token_counts,
+        "op7_sentencepiece": op7_sentencepiece,
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_embedding_dedup": op10_embedding_dedup,
