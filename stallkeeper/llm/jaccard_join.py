@@ -8,7 +8,8 @@ those prefixes as well are dropped.  What is left is verified on the whole sets.
 
 The result is a class for each document, not all pairs.  In a few linear rounds each set meets one earlier set of its
 token groups and the classes of verified links are merged.  After that the pairs of *different* classes within a
-token group are all compared, so no link is lost, while a group of near copies, by then one class, makes no pairs.
+token group are all compared, so no link is lost, while a group of near copies, by then one class, makes no pairs.  Parity
+bitmaps in that join's condition bound the difference of two sets from below, so copies edited too much make none either.
 
 Null and empty texts, and texts without words, have no shingles and link with nothing; rows without doc_id have no
 links either.  Rows repeating a doc_id are compared by their texts and keep a row each.  Columns other than
@@ -32,6 +33,7 @@ from .common import components, slices, small_side
 COMMON_TOKENS = 1_000_000
 COMMON_FROM = 16
 LINEAR_ROUNDS = 3
+WORDS = 16  # parity bitmaps of 1024 bits
 _BASE = np.uint64(0x9E6C63D0876A9A35)
 
 
@@ -143,7 +145,10 @@ def _prefix_length(size: int, percent: int) -> int:
 
 
 def _whole_sets(docs: DataFrame, k: int, percent: int, orders: Orders) -> DataFrame:
-    """(key, tokens, second, third): the whole set and its prefixes under two more orders, in 32 bits."""
+    """(key, tokens, second, third, bits): the whole set, its prefixes under two more orders in 32 bits, and its parity bitmap.
+
+    Bit i is the parity of the tokens that fall on i, so differing bits never exceed the tokens only one of two sets has.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((orders.tokens, orders.counts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,11 +159,14 @@ def _whole_sets(docs: DataFrame, k: int, percent: int, orders: Orders) -> DataFr
                 sets = list(shingle_sets(texts[a:b], k))
                 more = [[order.prefix(s, _prefix_length(len(s), percent), seed).astype(np.uint32).view(np.int32) for s in sets]
                         for seed in (1, 2)]
+                odd = [np.bincount((s % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS).astype(np.uint8) & 1 for s in sets]
+                bits = np.packbits(np.array(odd, np.uint8).reshape(-1, 64 * WORDS), axis=1, bitorder="little").view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_key(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    *(pa.array(m, pa.list_(pa.int32())) for m in more)], ["key", "tokens", "second", "third"])
+                    *(pa.array(m, pa.list_(pa.int32())) for m in more),
+                    pa.array(bits.tolist(), pa.list_(pa.int64()))], ["key", "tokens", "second", "third", "bits"])
 
-    return docs.select("text").mapInArrow(run, "key long, tokens array<long>, second array<int>, third array<int>")
+    return docs.select("text").mapInArrow(run, "key long, tokens array<long>, second array<int>, third array<int>, bits array<long>")
 
 
 def _possible(a: str, b: str, percent: int):
@@ -194,11 +202,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     # prefixes of one document of each set; tokens that one set alone has can link nothing
     prefixes = stage(_prefixes(slim.filter("doc_id is not null"), k, percent, orders).filter("size > 0"), "prefixes")
-    posted = prefixes.join(reps, ["key", "doc_id"], "left_semi").select("key", "size", F.posexplode("tokens").alias("pos", "token"))
+    posted = prefixes.join(small_side(reps), ["key", "doc_id"], "left_semi").select("key", "size", F.posexplode("tokens").alias("pos", "token"))
     heat = posted.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     posts = stage(posted.join(heat, "token"), "posts")
 
-    met = stage(posts.select("key").distinct().join(reps, "key").select("doc_id").distinct(), "met")
+    met = stage(posts.select("key").distinct().join(small_side(reps), "key").select("doc_id").distinct(), "met")
     sets = stage(_whole_sets(slim.join(small_side(met), "doc_id", "left_semi"), k, percent, orders).filter(
         "key is not null"), "sets")
     if stage(sets.groupBy("key").count().filter("count > 1"), "repeats").limit(1).count():
@@ -221,10 +229,14 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # what may still link two classes: every pair of different classes in a token group
     grouped = _with_class(posts, classes)
     mixed = grouped.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    open_ = stage(grouped.join(mixed.select("token"), "token"), "open")
-    side = lambda s: open_.select("token", F.struct("key", "size", "pos", "class").alias(s))
+    words = [F.element_at("bits", w + 1).alias(f"w{w}") for w in range(WORDS)]
+    open_ = stage(grouped.join(mixed.select("token"), "token").join(sets.select("key", *words), "key"), "open")
+    side = lambda s: open_.select("token", F.struct("key", "size", "pos", "class", *[f"w{w}" for w in range(WORDS)]).alias(s))
+    differ = sum((F.bit_count(F.col(f"x.w{w}").bitwiseXOR(F.col(f"y.w{w}"))) for w in range(WORDS)), F.lit(0))
+    # two sets that share enough differ in at most this many tokens
+    apart = (F.col("x.size") + F.col("y.size")) * (100 - percent) / (100 + percent)
     pairs = side("x").join(side("y"), "token").filter(
-        (F.col("x.class") < F.col("y.class")) & _possible("x", "y", percent)
+        (F.col("x.class") < F.col("y.class")) & _possible("x", "y", percent) & (differ <= apart + 1e-9)
     ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     found = _verified(pairs, sets, percent)
     links = found if links is None else links.unionByName(found)
