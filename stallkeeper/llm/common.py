@@ -103,3 +103,21 @@ def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]
             start, held = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def cut_out(df: DataFrame, spans: str, mark: str) -> DataFrame:
+    """``text`` with ``mark`` for each of its spans (start, end), in order of their starts; null spans change nothing.
+
+    Spans that overlap the one before share its mark.  A column n_chars follows the text.
+    """
+    text, cut = F.col("text"), F.col(spans).isNotNull()
+    step = lambda acc, s: F.struct(
+        F.greatest(acc["pos"], s["end"]).alias("pos"),
+        F.when(s["start"] >= acc["pos"], F.concat(acc["out"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))).otherwise(
+            acc["out"]).alias("out"))
+    folded = F.aggregate(spans, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
+                         lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
+    out = df.withColumn("text", F.when(cut, folded).otherwise(text))
+    if "n_chars" in df.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out

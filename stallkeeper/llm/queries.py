@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, jaccard_join, lattice, quality, secret_scan, token_count, token_files, toxicity
+from . import chunk_dedup, decontaminate, embedding_dedup, jaccard_join, lattice, quality, secret_scan, token_count, token_files, toxicity
 from . import oracle
 from .common import table
 
@@ -19,6 +19,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("version")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each repeated passage of a document."""
+    return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("version")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -57,6 +62,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_quality": op4_quality,
         "op5_secret_scan": op5_secret_scan,

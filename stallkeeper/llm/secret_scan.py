@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
-from .common import small_side
+from .common import cut_out, small_side
 
 # fixed values: the patterns of the base scan, in the order in which kinds are listed
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -198,17 +198,6 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents, all their columns, with ``mark`` in the place of each span; n_chars follows the text."""
     found = stage(secret_spans(docs).filter(F.size("spans") > 0).select(
         F.col("doc_id").alias("_d"), F.col("version").alias("_v"), F.col("spans").alias("_s")).dropDuplicates(["_d", "_v"]), "found")
-    text = F.col("text")
     both = docs.join(small_side(found), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (
         F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_v")), "left")
-    part = lambda a, b: F.substring(text, a + 1, b - a)
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["pos"], s["end"]).alias("pos"),
-        F.when(s["start"] >= acc["pos"], F.concat(acc["out"], part(acc["pos"], s["start"]), F.lit(mark))).otherwise(acc["out"]).alias("out"))
-    folded = F.aggregate("_s", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
-                         lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
-    changed = both.withColumn("text", F.when(F.col("_s").isNotNull(), folded).otherwise(text))
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_s").isNotNull(), F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    return cut_out(both, "_s", mark).select(*docs.columns)
