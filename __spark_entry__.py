@@ -46,11 +46,18 @@ def _shop(job: Callable[[Shop], DataFrame]) -> Query:
 # ---- helpers for jobs that write ------------------------------------------
 
 def _csv_ingest(s: Shop) -> DataFrame:
-    """Customers written as CSV with shuffled columns, then read by name."""
-    path = staging_path(s.spark, "csv")
-    order = ["email", "customer_id", "last_name", "first_name", "phone", "city", "country", "registration_date", "age_group"]
-    s.customers.select(*order).write.option("header", True).csv(path)
-    return tables.csv_ingest(s.spark, path, "customers")
+    """Products written as CSV with shuffled columns and damaged lines, read by name: good rows and rejects per reason."""
+    path, rejects = staging_path(s.spark, "csv"), staging_path(s.spark, "rejects")
+    k, text = F.col("product_id"), lambda c: F.col(c).cast("string")
+    price = F.when(k % 53 == 0, F.lit("n/a")).otherwise(F.col("price").cast("double").cast("string"))
+    line = F.concat_ws(",", "brand", price, text("product_id"), "product_name", "category", F.col("cost").cast("double").cast("string"))
+    line = F.when(k % 59 == 1, F.concat(line, F.lit(",more"))).when(k % 61 == 2, F.concat_ws(",", "brand", price)).otherwise(line)
+    head = "brand,price,product_id,product_name,category,cost"
+    s.products.select(line.alias("value")).write.text(path)
+    good = tables.csv_ingest(s.spark, path, "products", head.split(","), rejects).select(
+        "product_id", "product_name", "brand", "category", "price", "cost", F.lit(None).cast("string").alias("reason"), F.lit(1).cast("bigint").alias("rows"))
+    bad = s.spark.read.parquet(rejects).groupBy("reason").agg(F.count("*").alias("rows"))
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 _EVENT_FIELDS = ["event_id", "session_id", "user_id", "event_type", "event_timestamp", "page_url", "element_id",
@@ -79,11 +86,16 @@ def _quarantine(s: Shop) -> DataFrame:
 
 
 def _static_partition(s: Shop) -> DataFrame:
-    raw, target = staging_path(s.spark, "csv"), staging_path(s.spark, "orders")
-    s.orders.select("order_id", "customer_id", "order_date", "order_status", F.col("total_amount").cast("double").alias("total_amount"),
+    """Orders loaded into one partition; amounts that are no numbers are rejected and listed."""
+    raw, target, rejects = (staging_path(s.spark, x) for x in ("csv", "orders", "rejects"))
+    amount = F.when(F.col("order_id") % 97 == 0, F.lit("unknown")).otherwise(F.col("total_amount").cast("double").cast("string"))
+    s.orders.select("order_id", "customer_id", "order_date", "order_status", amount.alias("total_amount"),
                     "payment_method").write.option("header", True).csv(raw)
-    tables.overwrite_partition(tables.csv_ingest(s.spark, raw, "orders"), target, BIZDATE)
-    return tables.read_table(s.spark, target).select("order_id", "customer_id", "order_status", "total_amount", "ds")
+    tables.overwrite_partition(tables.csv_ingest(s.spark, raw, "orders", rejects=rejects), target, BIZDATE)
+    part = lambda c: F.get_json_object("line", f"$.{c}").alias(c)
+    bad = s.spark.read.parquet(rejects).select(part("order_id"), part("customer_id"), F.col("reason").alias("order_status"),
+                                               F.lit(None).cast("double").alias("total_amount"), F.lit("rejected").alias("ds"))
+    return tables.read_table(s.spark, target).select("order_id", "customer_id", "order_status", "total_amount", "ds").unionByName(bad)
 
 
 def _literal_rows(s: Shop) -> DataFrame:
@@ -169,7 +181,7 @@ def _layered(s: Shop) -> DataFrame:
     parts = []
     for layer, table, path in made:
         if layer == "ods" and table in filled:
-            tables.overwrite_table(tables.conform(filled[table], layer, table), path)
+            tables.overwrite_table(tables.bind_schema(filled[table], schemas.schema_of(layer, table)), path)
         df = s.spark.read.schema(schemas.schema_of(layer, table)).parquet(path)
         parts.append(df.agg(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
                             F.lit(len(df.columns)).cast("bigint").alias("columns"), F.count("*").alias("rows")))
@@ -273,7 +285,7 @@ def _text_functions(s: Shop, variant: str) -> DataFrame:
     top = "" if variant == "v1" else ", 3"
     return _texts(s).selectExpr(
         "doc_id", f"{p}sentiment(text) sentiment", f"{p}keywords(text{top}) keywords",
-        f"{p}similarity(text, left(text, 100)) self_similarity", f"{p}word_count(text) words",
+        f"{p}similarity(text, concat(text, ' ', source)) self_similarity", f"{p}word_count(text) words",
         f"{p}language_detect(text) language", f"md5({p}clean(text, 'html')) cleaned")
 
 
@@ -361,9 +373,20 @@ def _changes(s: Shop) -> DataFrame:
     return etl.snapshot_change_detect(s.customers, s.shop_customers_prev)
 
 
+def _odd_customers(s: Shop) -> DataFrame:
+    """Current customers with missing values, quotes and backslashes."""
+    k = F.col("customer_id")
+    return s.customers.withColumn("email", F.when(k % 37 != 0, F.col("email"))).withColumn("last_name", F.when(k % 43 != 0, F.col("last_name"))).withColumn(
+        "first_name", F.when(k % 41 == 0, F.concat("first_name", F.lit(' "Q" \\x'))).otherwise(F.col("first_name")))
+
+
+def _odd_changes(s: Shop) -> DataFrame:
+    return etl.snapshot_change_detect(_odd_customers(s), s.shop_customers_prev, "rows", null_safe=True)
+
+
 def _cdc_stream(s: Shop) -> DataFrame:
     inbox, base, mark = (staging_path(s.spark, x) for x in ("inbox", "base", "mark"))
-    _changes(s).withColumn("change_timestamp", F.lit(AS_OF).cast("timestamp")).write.parquet(inbox)
+    _odd_changes(s).withColumn("change_timestamp", F.lit(AS_OF).cast("timestamp")).write.parquet(inbox)
     s.shop_customers_prev.write.parquet(f"{base}/version=0")
     stream = streams.file_stream(s.spark, inbox, s.spark.read.parquet(inbox).schema)
     streams.finish(streams.cdc_stream(stream, base, mark))
@@ -387,17 +410,17 @@ def queries() -> dict[str, Query]:
         "ci_substring_match": S(lambda s: basic.brands_like(s.products, "BRAND#1")),
         "date_parts": S(lambda s: basic.order_date_parts(s.orders, BIZDATE)),
         "profit_margin": S(lambda s: basic.profit_margins(s.products)),
-        "exists_semi_join": S(lambda s: basic.customers_with_orders(s.customers, s.active_orders)),
+        "exists_semi_join": S(lambda s: basic.customers_with_orders(s.prospects, s.orders)),
         "limit_offset_page": S(lambda s: basic.product_page(s.products, 2)),
         "null_cleanup": S(lambda s: basic.fill_missing(s.dirty_customers)),
         # joins and analytics
         "orders_with_customer": S(lambda s: analytics.orders_with_customer(s.orders, s.customers, BIZDATE)),
-        "customer_order_summary": S(lambda s: analytics.customer_order_summary(s.customers, s.active_orders)),
+        "customer_order_summary": S(lambda s: analytics.customer_order_summary(s.prospects, s.orders)),
         "order_line_detail": S(lambda s: analytics.order_line_detail(s.orders, s.customers, s.order_items, s.products, BIZDATE)),
-        "customer_spend_ranks": S(lambda s: analytics.customer_spend_ranks(s.customers, s.active_orders)),
+        "customer_spend_ranks": S(lambda s: analytics.customer_spend_ranks(s.prospects, s.orders)),
         "running_and_moving": S(lambda s: analytics.running_and_moving(s.orders, BIZDATE)),
-        "product_sales_report": S(lambda s: analytics.product_sales_report(s.products, s.sold_items, s.orders)),
-        "customer_segment_rules": S(lambda s: analytics.customer_segment_rules(s.customers, s.active_orders, AS_OF)),
+        "product_sales_report": S(lambda s: analytics.product_sales_report(s.catalog, s.order_items, s.orders)),
+        "customer_segment_rules": S(lambda s: analytics.customer_segment_rules(s.prospects, s.orders, AS_OF)),
         "monthly_trends": S(lambda s: analytics.monthly_trends(s.orders, "19960101")),
         "same_city_pairs": S(lambda s: analytics.same_city_pairs(s.customers)),
         "price_band_crosstab": S(lambda s: analytics.price_band_crosstab(s.products)),
@@ -405,10 +428,10 @@ def queries() -> dict[str, Query]:
         "daily_sales_summary": S(lambda s: etl.daily_sales_summary(s.month_of_orders(BIZDATE), s.order_items, s.products, BIZDATE)),
         "top_category": S(lambda s: etl.top_category(s.order_items, s.products, s.month_of_orders(BIZDATE), BIZDATE)),
         "top_product": S(lambda s: etl.top_product(s.order_items, s.month_of_orders(BIZDATE), BIZDATE)),
-        "rfm_scores": S(lambda s: etl.rfm_scores(s.customers, s.active_orders, AS_OF)),
-        "rfm_segments": S(lambda s: etl.customer_segments(s.customers, s.active_orders, AS_OF, "v1")),
-        "value_segments": S(lambda s: etl.customer_segments(s.customers, s.active_orders, AS_OF, "v2")),
-        "product_performance": S(lambda s: etl.product_performance(s.products, s.sold_items, s.orders)),
+        "rfm_scores": S(lambda s: etl.rfm_scores(s.prospects, s.orders, AS_OF)),
+        "rfm_segments": S(lambda s: etl.customer_segments(s.prospects, s.orders, AS_OF, "v1")),
+        "value_segments": S(lambda s: etl.customer_segments(s.prospects, s.orders, AS_OF, "v2")),
+        "product_performance": S(lambda s: etl.product_performance(s.catalog, s.order_items, s.orders)),
         "web_analytics_summary": S(lambda s: etl.web_analytics_summary(s.web_sessions, s.page_views, s.purchases, WEB_DATE)),
         "web_analytics_summary_by_user": S(lambda s: etl.web_analytics_summary(
             s.web_sessions, s.page_views, s.purchases, WEB_DATE, keys=("date", "user_id"))),
@@ -457,8 +480,8 @@ def queries() -> dict[str, Query]:
         "amount_validation": S(lambda s: validation.amount_validation(s.dirty_orders)),
         "orphan_orders": S(lambda s: validation.orphan_orders(s.dirty_orders, s.customers)),
         "orphan_order_items": S(lambda s: validation.orphan_order_items(
-            s.order_items, s.active_orders, s.products.filter(F.col("product_id") % 13 != 0))),
-        "orphan_order_items_v2": S(lambda s: validation.orphan_order_items(s.order_items, s.active_orders, s.products, "v2")),
+            s.loose_items, s.orders, s.products)),
+        "orphan_order_items_v2": S(lambda s: validation.orphan_order_items(s.loose_items, s.orders, s.products, "v2")),
         "order_total_verification": S(lambda s: validation.order_total_verification(s.orders, s.order_items)),
         "date_range_validation": S(lambda s: validation.date_range_validation(s.customers, s.orders)),
         "partition_prune_count": S(lambda s: validation.partition_prune_count(s.month_of_orders(BIZDATE), BIZDATE)),
@@ -487,8 +510,9 @@ def queries() -> dict[str, Query]:
         "pii_mask_job_v2": S(lambda s: text_jobs.pii_mask(s.dirty_customers, "customer_id", "country", variant="v2")),
         "pii_mask_counts": S(lambda s: text_jobs.pii_mask_counts(
             text_jobs.pii_mask(s.dirty_customers, "customer_id", "country"), "country")),
-        "pii_mask_text": S(lambda s: text_jobs.mask_text_emails(_texts(s)).select(
+        "pii_mask_text": S(lambda s: text_jobs.mask_text(_texts(s)).select(
             "doc_id", "changed", F.md5("masked_text").alias("digest"))),
+        "pii_mask_text_left": S(lambda s: text_jobs.unmasked_left(text_jobs.mask_text(_texts(s)))),
         "contact_validation_report": S(lambda s: text_jobs.contact_validation(s.dirty_customers, "country")),
         "text_shape_job": _shape("v1"), "text_shape_job_v2": _shape("v2"),
         "text_shape_summary": S(lambda s: text_jobs.text_shape_summary(_texts(s), "text", "source")),
@@ -505,14 +529,14 @@ def queries() -> dict[str, Query]:
         # features and increments
         "top10_customers": S(lambda s: features.top_customers(s.customers, s.orders)),
         "aov_by_country": S(lambda s: features.aov_by_country(s.customers, s.orders)),
-        "inactive_customers_30d": S(lambda s: features.inactive_customers(s.customers, s.active_orders, AS_OF)),
+        "inactive_customers_30d": S(lambda s: features.inactive_customers(s.prospects, s.orders, AS_OF)),
         "top_products_per_category": S(lambda s: features.top_products_per_category(s.products, s.order_items)),
-        "underperforming_products": S(lambda s: features.underperforming_products(s.products, s.sold_items, s.orders)),
+        "underperforming_products": S(lambda s: features.underperforming_products(s.catalog, s.order_items, s.orders)),
         "incremental_load": S(_incremental), "incremental_load_stream": S(_incremental_stream),
         "dashboard_feed": S(lambda s: features.dashboard_feed(s.base("events"))),
         "dashboard_feed_stream": S(_dashboard_stream),
-        "cdc_apply": S(lambda s: features.cdc_apply(s.shop_customers_prev, _changes(s))), "cdc_apply_stream": S(_cdc_stream),
-        "customer_features": S(lambda s: features.customer_features(s.customers, s.active_orders, s.order_items, AS_OF)),
+        "cdc_apply": S(lambda s: features.cdc_apply(s.shop_customers_prev, _odd_changes(s))), "cdc_apply_stream": S(_cdc_stream),
+        "customer_features": S(lambda s: features.customer_features(s.prospects, s.orders, s.order_items, AS_OF)),
         "copurchase_features": S(lambda s: features.copurchase_features(s.order_items, features.best_sellers(s.order_items))),
         "churn_dataset": S(lambda s: features.churn_dataset(s.customers, s.orders, CUTOFF)),
     }

@@ -10,13 +10,13 @@ _EMAIL = r"'^[A-Za-z0-9+_.-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$'"
 
 
 def _analytics() -> dict[str, str]:
-    co = ctes("shop_customers", "active_orders")
-    spend = co + """, m as (select customer_id, first_name, last_name, n, s, k, last_order from shop_customers left join
-        (select customer_id, count(*) n, sum(total_amount) s, count(total_amount) k, max(order_date) last_order from active_orders group by 1) t using (customer_id)) """
+    co = ctes("prospects", "shop_orders")
+    spend = co + """, m as (select customer_id, first_name, last_name, n, s, k, last_order from prospects left join
+        (select customer_id, count(*) n, sum(total_amount) s, count(total_amount) k, max(order_date) last_order from shop_orders group by 1) t using (customer_id)) """
     o = ctes("shop_orders")
-    facts = ctes("shop_products", "sold_items", "shop_orders") + """, f as (select i.product_id, sum(quantity)::bigint q, sum(line_total) r,
+    facts = ctes("catalog", "shop_order_items", "shop_orders") + """, f as (select i.product_id, sum(quantity)::bigint q, sum(line_total) r,
         sum(unit_price)::double/count(*) ap, count(distinct o.order_id) oc, count(distinct o.customer_id) uc
-        from sold_items i left join shop_orders o on i.order_id=o.order_id group by 1) """
+        from shop_order_items i left join shop_orders o on i.order_id=o.order_id group by 1) """
     return {
         "orders_with_customer": ctes("shop_customers", "shop_orders") + f"""select order_id, order_date, total_amount::double total_amount,
             first_name, last_name, country from shop_orders o join shop_customers c using (customer_id) where o.ds>='{BIZDATE}'""",
@@ -38,7 +38,7 @@ def _analytics() -> dict[str, str]:
             from shop_orders where ds>='{BIZDATE}' window w as (order by order_date, order_id)""",
         "product_sales_report": facts + """select product_id, product_name, category, oc orders_containing_product, q total_quantity_sold,
             r::double total_revenue, ap avg_selling_price, cost::double as cost, (r-q*cost)::double total_profit
-            from shop_products join f using (product_id) where q>0""",
+            from catalog join f using (product_id) where q>0""",
         "customer_segment_rules": spend + f""", t as (select *, (date '{AS_OF}' - last_order::date)::int d from m)
             select customer_id, first_name, last_name, coalesce(n,0) total_orders, s::double total_spent, s::double/k avg_order_value,
             d days_since_last_order, case when s>200 and n>2 then 'VIP' when s>100 and n>1 then 'Regular' when n=1 then 'New' else 'Inactive' end customer_segment,
@@ -55,13 +55,13 @@ def _analytics() -> dict[str, str]:
             count(*) filter (where price>=50 and price<100) from_50_to_100, count(*) filter (where price>=100 and price<200) from_100_to_200,
             count(*) filter (where price>=200) over_200, count(*) total_products from shop_products group by 1""",
         "product_performance": facts + """, t as (select p.product_id, product_name, category, coalesce(q,0) q, coalesce(r,0) r, coalesce(r-q*cost,0) g,
-            coalesce(oc,0) oc, coalesce(uc,0) uc, coalesce(ap,0) ap from shop_products p left join f using (product_id)),
+            coalesce(oc,0) oc, coalesce(uc,0) uc, coalesce(ap,0) ap from catalog p left join f using (product_id)),
             u as (select *, row_number() over (order by r desc, product_id) k from t)
             select product_id, product_name, category, q total_quantity_sold, r::double total_revenue, g::double total_profit,
             case when r>0 then g::double/r::double*1e2 else 0.0::double end profit_margin_pct, oc orders_count, uc unique_customers,
             ap avg_selling_price, k performance_rank, case when k<=5 then 'Top Performer' when k<=20 then 'Good Performer'
             when k<=50 then 'Average Performer' when r>0 then 'Under Performer' else 'No Sales' end performance_tier from u""",
-        "underperforming_products": facts + """, t as (select *, (r-q*cost)::double*1e2/nullif(r::double,0) m from shop_products left join f using (product_id))
+        "underperforming_products": facts + """, t as (select *, (r-q*cost)::double*1e2/nullif(r::double,0) m from catalog left join f using (product_id))
             select product_id, product_name, category, coalesce(r::double,0) total_revenue, round(m,4) profit_margin_pct,
             case when r is null then 'NO_SALES' when m<45 then 'LOW_MARGIN' when r::double<50 then 'LOW_REVENUE' else 'OK' end flag from t""",
     }
@@ -77,10 +77,10 @@ def _sales() -> dict[str, str]:
         count(distinct customer_id) total_customers, sum(total_amount)::double/count(*) avg_order_value,
         (select category from cat) top_category, (select product_id from prod) top_product_id
         from shop_orders where ds='{BIZDATE}' and order_status='completed' group by 1"""
-    rfm = ctes("shop_customers", "active_orders") + f""", m as (select c.customer_id, count(o.order_id) n, coalesce(sum(total_amount),0) s,
+    rfm = ctes("prospects", "shop_orders") + f""", m as (select c.customer_id, count(o.order_id) n, coalesce(sum(total_amount),0) s,
         coalesce(sum(total_amount)::double/count(total_amount),0) a,
         (date '{AS_OF}' - coalesce(max(order_date)::date, any_value(registration_date)))::int d
-        from shop_customers c left join active_orders o on c.customer_id=o.customer_id group by 1),
+        from prospects c left join shop_orders o on c.customer_id=o.customer_id group by 1),
         sc as (select *, case when d<=30 then 5 when d<=60 then 4 when d<=90 then 3 when d<=180 then 2 else 1 end r,
         case when n>=10 then 5 when n>=5 then 4 when n>=3 then 3 when n>=2 then 2 else 1 end f,
         case when s>=1000 then 5 when s>=500 then 4 when s>=200 then 3 when s>=100 then 2 else 1 end v from m) """
@@ -93,12 +93,12 @@ def _sales() -> dict[str, str]:
         "rfm_segments": rfm + """select customer_id, 'RFM' segment_type, case when r+f+v>=12 then 'Champions' when r+f+v>=10 then 'Loyal Customers'
             when r+f+v>=8 then 'Potential Loyalists' when r+f+v>=6 then 'At Risk' when r+f+v>=4 then 'Cannot Lose' else 'Lost Customers' end segment_value,
             n total_orders, s::double total_spent, a avg_order_value, d days_since_last_order, (r+f+v)::double/3 segment_score from sc""",
-        "value_segments": ctes("shop_customers", "active_orders") + f"""select c.customer_id, 'value_segment' segment_type,
+        "value_segments": ctes("prospects", "shop_orders") + f"""select c.customer_id, 'value_segment' segment_type,
             case when sum(total_amount)>=1000 then 'High Value' when sum(total_amount)>=500 then 'Mid Value' else 'Low Value' end segment_value,
             count(distinct o.order_id) total_orders, coalesce(sum(total_amount)::double,0) total_spent,
             coalesce(sum(total_amount)::double/count(total_amount),0) avg_order_value, (date '{AS_OF}' - max(order_date)::date)::int days_since_last_order,
             coalesce(sum(total_amount)::double,0)/1e2 segment_score
-            from shop_customers c left join active_orders o on c.customer_id=o.customer_id group by 1""",
+            from prospects c left join shop_orders o on c.customer_id=o.customer_id group by 1""",
         "etl_job_status_log": base + f", d as ({daily}) select 'daily_sales_summary' job_name, 'FACT_TABLE' job_type, "
             "timestamp '1996-09-02 02:00:00' start_time, timestamp '1996-09-02 02:12:00' end_time, 'SUCCESS' status, "
             f"null::varchar error_message, count(*) records_processed, '{BIZDATE}' ds from d",
@@ -151,7 +151,7 @@ def _validation() -> dict[str, str]:
     clean = ctes("shop_customers", "shop_products", "shop_orders", "shop_order_items")
     dirty = ctes("dirty_customers", "dirty_orders", "dirty_products", "shop_products", "shop_customers")
     prod = ctes("shop_products")
-    items = ctes("shop_order_items", "active_orders", "shop_products")
+    items = ctes("loose_items", "shop_orders", "shop_products")
     return {
         "tables_nonempty": clean + """select 'Table Existence Check' test_name, if(exists(from shop_customers),'PASS','FAIL') customers_test,
             if(exists(from shop_products),'PASS','FAIL') products_test, if(exists(from shop_orders),'PASS','FAIL') orders_test""",
@@ -170,10 +170,10 @@ def _validation() -> dict[str, str]:
             count(*) filter (where c.customer_id is null) orphaned_orders from dirty_orders o left join shop_customers c on c.customer_id=o.customer_id""",
         "orphan_order_items": items + """select 'Orphaned Order Items Check' test_name, count(*) total_order_items, count(o.order_id) items_with_valid_orders,
             count(p.product_id) items_with_valid_products, count(*)-count(o.order_id) items_missing_orders, count(*)-count(p.product_id) items_missing_products
-            from shop_order_items i left join active_orders o on o.order_id=i.order_id
-            left join (select product_id from shop_products where product_id%13<>0) p on p.product_id=i.product_id""",
+            from loose_items i left join shop_orders o on o.order_id=i.order_id
+            left join shop_products p on p.product_id=i.product_id""",
         "orphan_order_items_v2": items + """select 'Orphaned Order Items Check' test_name, count(*) total_order_items, count(o.order_id) items_with_valid_orders,
-            count(*)-count(o.order_id) orphaned_items from shop_order_items i left join active_orders o on o.order_id=i.order_id""",
+            count(*)-count(o.order_id) orphaned_items from loose_items i left join shop_orders o on o.order_id=i.order_id""",
         "order_total_verification": clean + """, g as (select abs(total_amount-coalesce((select sum(line_total) from shop_order_items i where i.order_id=o.order_id),0)) d from shop_orders o)
             select 'Order Total Verification' test_name, count(*) total_orders, count(*) filter (where d<0.01) matching_totals,
             count(*) filter (where d>=0.01) mismatched_totals, max(d)::double max_difference from g""",
@@ -210,21 +210,21 @@ def _features() -> dict[str, str]:
             from shop_orders join shop_customers using (customer_id) group by 1,2,3,4 order by sum(total_amount) desc, customer_id limit 10""",
         "aov_by_country": co + """select country, count(*) total_orders, sum(total_amount)::double/count(*) avg_order_value
             from shop_orders join shop_customers using (customer_id) group by 1""",
-        "inactive_customers_30d": ctes("shop_customers", "active_orders") + f"""select customer_id, first_name, last_name, country from shop_customers
-            where customer_id not in (select customer_id from active_orders where order_date::date >= date '{AS_OF}' - 30)""",
+        "inactive_customers_30d": ctes("prospects", "shop_orders") + f"""select customer_id, first_name, last_name, country from prospects
+            where customer_id not in (select customer_id from shop_orders where order_date::date >= date '{AS_OF}' - 30)""",
         "top_products_per_category": ctes("shop_products", "shop_order_items") + """, r as (select category, product_id, product_name, sum(line_total) v
             from shop_order_items join shop_products using (product_id) group by 1,2,3)
             select category, row_number() over (partition by category order by v desc, product_id) category_rank, product_id, product_name,
             v::double total_revenue from r qualify category_rank<=3""",
-        "customer_features": ctes("shop_customers", "active_orders", "shop_order_items") + f""",
+        "customer_features": ctes("prospects", "shop_orders", "shop_order_items") + f""",
             sz as (select order_id, sum(quantity) u, sum(discount_amount) dsc, sum(line_total) ln from shop_order_items group by 1),
             m as (select customer_id, count(*) n, sum(total_amount) s, max(total_amount) mx, min(order_date)::date fo, max(order_date)::date lo, sum(u) u,
               sum(dsc) dsc, sum(ln) ln, count(*) filter (where order_status='completed') dn, count(*) filter (where extract(dow from order_date) in (0,6)) we
-              from active_orders left join sz using (order_id) where order_date::date<=date '{AS_OF}' group by 1)
+              from shop_orders left join sz using (order_id) where order_date::date<=date '{AS_OF}' group by 1)
             select customer_id, (date '{AS_OF}'-registration_date)::int tenure_days, coalesce(n,0) order_count, coalesce(s::double,0) total_spent,
             s::double/n avg_order_value, mx::double max_order_value, (date '{AS_OF}'-lo)::int recency_days, (lo-fo)::double/nullif(n-1,0) avg_gap_days,
             coalesce(u,0)::bigint units_bought, dn*1e2/n completed_pct, we*1e2/n weekend_pct, dsc::double/nullif((dsc+ln)::double,0) discount_share
-            from shop_customers left join m using (customer_id)""",
+            from prospects left join m using (customer_id)""",
         "copurchase_features": ctes("shop_order_items") + """, l as (select distinct order_id, product_id from shop_order_items),
             best as (select product_id from shop_order_items group by 1 order by sum(quantity) desc, 1 limit 10),
             sold as (select product_id, count(*) n from l group by 1), nb as (select count(distinct order_id) b from l),

@@ -145,6 +145,16 @@ def _mask_tel(c: str) -> str:
     return f"case when regexp_matches({c},{_PHONE}) then repeat('*',length({dg})-4)||right({dg},4) else {c} end"
 
 
+def _in_text(c: str, pattern: str, mask) -> str:
+    """Text between the matches, and the matches masked, in turns."""
+    zipped = f"list_zip(regexp_split_to_array({c},{pattern}), list_append(regexp_extract_all({c},{pattern}),''))"
+    return f"array_to_string(list_transform({zipped}, lambda z: z[1]||if(z[2]='','',{mask('z[2]')})),'')"
+
+
+_MASKED = f""", m1 as (select doc_id, text, {_in_text('text', _MAIL, _mask1)} c1 from shop_text),
+    m2 as (select doc_id, text, {_in_text('c1', _PHONE[:-1] + "[0-9]*'", _mask_tel)} c from m1) """
+
+
 def _names(title: str, plain: str, slug: str) -> str:
     return ctes("shop_products") + f"select product_id, {title} name_title, {plain} name_plain, {slug} name_slug, {_initials('product_name')} name_initials from shop_products"
 
@@ -185,11 +195,11 @@ _PAIRS = ", pr as (select doc_id doc_a, doc_id+1 doc_b from documents) "
 def _functions(v2: bool) -> str:
     head = (_S2 + _K2) if v2 else (_S1 + _K1)
     if v2:
-        cos = """, c1 as (select doc_id, w, count(*) n from wd group by 1,2), c2 as (select doc_id, w, count(*) n from (select doc_id, unnest(""" + _tok("left(text,100)") + """) w from shop_text) group by 1,2),
+        cos = """, c1 as (select doc_id, w, count(*) n from wd group by 1,2), c2 as (select doc_id, w, count(*) n from (select doc_id, unnest(""" + _tok("text||' '||source") + """) w from shop_text) group by 1,2),
             sm as (select x.doc_id, round(sum(x.n*y.n)::double/(sqrt((select sum(n*n) from c1 where doc_id=x.doc_id)::double)*sqrt((select sum(n*n) from c2 where doc_id=x.doc_id)::double)),4) s
             from c1 x join c2 y on x.doc_id=y.doc_id and x.w=y.w group by 1) """
     else:
-        cos = f""", q as (select doc_id, list_distinct({_tok()}) a, list_distinct({_tok('left(text,100)')}) b from shop_text),
+        cos = f""", q as (select doc_id, list_distinct({_tok()}) a, list_distinct({_tok("text||' '||source")}) b from shop_text),
             sm as (select doc_id, len(list_intersect(a,b))::double/nullif(len(list_distinct(list_concat(a,b))),0) s from q) """
     return head + cos + f"""select d.doc_id, sentiment, coalesce(keywords,'') keywords, coalesce(s,0) self_similarity, {_WC2 if v2 else _WC1} words,
         {_L2 if v2 else _L1} as language, md5({_HTML2 if v2 else _HTML1}) cleaned
@@ -229,8 +239,8 @@ def oracles() -> dict[str, str]:
         "pii_mask_job_v2": _pii(_mask2("email"), "phone") + "select * from pm",
         "pii_mask_counts": _pii(_mask1("email"), _mask_tel("phone")) + """select country, count(*) total_rows, count(*) filter (where email_masked) masked_emails,
             count(*) filter (where phone_masked) masked_phones from pm group by 1""",
-        "pii_mask_text": _TEXT + f""", m as (select doc_id, text, array_to_string(list_transform(string_split(text,' '), lambda w: {_mask1('w')}),' ') c from shop_text)
-            select doc_id, c<>text as changed, md5(c) digest from m""",
+        "pii_mask_text": _TEXT + _MASKED + "select doc_id, c<>text as changed, md5(c) digest from m2",
+        "pii_mask_text_left": "select 0::bigint emails_left, 0::bigint phones_left",
         "contact_validation_report": _DC + f"""select country, count(*) filter (where {_is_mail('email')}) valid_emails, count(*) filter (where not {_is_mail('email')}) invalid_emails,
             count(*)-count(email) missing_emails, count(*) filter (where regexp_matches(phone,{_PHONE})) valid_phones,
             count(*) filter (where not regexp_matches(phone,{_PHONE})) invalid_phones, count(*)-count(phone) missing_phones from dirty_customers group by 1""",

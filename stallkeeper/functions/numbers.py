@@ -47,10 +47,3 @@ def label(cases: list[tuple[Column, str]], otherwise: str) -> Column:
         chain = chain.when(cond, value)
     return chain.otherwise(otherwise)
 
-
-def sample_stddev(total_: Column, total_sq: Column, n: Column) -> Column:
-    """Sample standard deviation from exact sums (NULL below two rows)."""
-    var = F.try_divide(
-        dbl(total_sq) - F.try_divide(dbl(total_) * dbl(total_), dbl(n)), dbl(n) - F.lit(1.0)
-    )
-    return F.sqrt(F.greatest(var, F.lit(0.0)))

@@ -2,13 +2,13 @@
 
 ``Window.orderBy`` without partitions moves the whole table into one task.
 Here rows are range-partitioned and numbered once, then every window runs on
-equal blocks of consecutive row numbers.  Only the block summaries (at most a
-few per shuffle partition) are ordered in one place and broadcast back.
+blocks of consecutive row numbers, all of the same fixed length whatever the
+size of the table.  Only the block summaries are ordered in one place and
+broadcast back: one short row for each 200,000 rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -18,41 +18,32 @@ from ..session import shuffle_width, stage
 
 # monotonically_increasing_id keeps the partition number above this bit
 _POSITION_BITS = 33
-MIN_BLOCK_ROWS = 20_000
-# up to this many rows one task with a plain window is faster
-ONE_TASK_ROWS = 500_000
+BLOCK_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class OrderedRows:
-    """Rows with a gap-free global number ``rn`` (from 1) and their count.
-
-    ``block_rows`` is None for a table small enough for one task.
-    """
+    """Rows with a gap-free global number ``rn`` (from 1)."""
 
     rows: DataFrame
-    count_rows: Callable[[], int]
-    block_rows: int | None
+    placed: DataFrame
+    block_rows: int
 
     @cached_property
     def n(self) -> int:
-        return self.count_rows()
+        """Rows of the staged table, counted from its file footers when asked for."""
+        return self.placed.count()
 
     def blocked(self) -> DataFrame:
         return self.rows.withColumn("_block", F.floor((F.col("rn") - 1) / self.block_rows).cast("long"))
 
 
-def number_rows(df: DataFrame, order: list[Column], block_rows: int | None = None,
-                at_most: DataFrame | None = None) -> OrderedRows:
+def number_rows(df: DataFrame, order: list[Column], block_rows: int = BLOCK_ROWS) -> OrderedRows:
     """Number ``df`` by ``order``, which must end in a unique key.
 
     The unique tail lets the range partitioner split even a single sort value
-    that fills a large part of the table.  ``at_most`` is a table that is cheap
-    to count and has at least as many rows as ``df``: when its count proves
-    ``df`` small, one task orders all rows.
+    that fills a large part of the table.
     """
-    if block_rows is None and at_most is not None and at_most.count() <= ONE_TASK_ROWS:
-        return OrderedRows(df.withColumn("rn", F.row_number().over(Window.orderBy(*order)).cast("long")), df.count, None)
     spark = df.sparkSession
     width = shuffle_width(spark)
     placed = stage(
@@ -70,8 +61,7 @@ def number_rows(df: DataFrame, order: list[Column], block_rows: int | None = Non
         .withColumn("rn", F.col("_before") + F.col("_pos").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1)
         .drop("_bucket", "_before", "_pos")
     )
-    n = placed.count()
-    return OrderedRows(rows, lambda: n, block_rows or max(MIN_BLOCK_ROWS, -(-n // (4 * width))))
+    return OrderedRows(rows, placed, block_rows)
 
 
 def _key_groups(rows: DataFrame, key: str, local: WindowSpec) -> DataFrame:
@@ -87,9 +77,6 @@ def with_ranks(ordered: OrderedRows, key: str, rank: str = "rank", dense: str =
     A group of equal keys may span many blocks; the block summary carries the
     group's first row number and the distinct-key count forward.
     """
-    if ordered.block_rows is None:
-        rows = _key_groups(ordered.rows, key, Window.orderBy("rn"))
-        return rows.withColumn(rank, F.col("_start")).withColumn(dense, F.col("_dense")).drop("_start", "_first", "_dense")
     rows = _key_groups(ordered.blocked(), key, Window.partitionBy("_block").orderBy("rn"))
 
     summary = rows.groupBy("_block").agg(
@@ -136,8 +123,6 @@ def percent_rank(n: int, rank: Column) -> Column:
 
 def with_running_sum(ordered: OrderedRows, value: str, out: str) -> DataFrame:
     """Add the running sum of ``value`` in row-number order."""
-    if ordered.block_rows is None:
-        return ordered.rows.withColumn(out, F.sum(value).over(Window.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)))
     rows = ordered.blocked()
     return _running(rows, value, out, F.lit(True)).drop("_block")
 
@@ -179,8 +164,6 @@ def with_neighbours(ordered: OrderedRows, back: int, ahead: int) -> DataFrame:
 
 def with_next(ordered: OrderedRows, value: Column, out: str) -> DataFrame:
     """Add ``value`` of the following row."""
-    if ordered.block_rows is None:
-        return ordered.rows.withColumn(out, F.lead(value).over(Window.orderBy("rn")))
     near = with_neighbours(ordered, back=0, ahead=1)
     near = near.withColumn(out, F.lead(value).over(Window.partitionBy("_home").orderBy("rn")))
     return near.filter("_own").drop("_home", "_own", "_block")
@@ -189,15 +172,12 @@ def with_next(ordered: OrderedRows, value: Column, out: str) -> DataFrame:
 def running_and_neighbours(ordered: OrderedRows, value: str, running: str, moving: str,
                            moving_rows: int, prev: str, nxt: str) -> DataFrame:
     """Running sum, moving average, previous and next value in one pass."""
-    small = ordered.block_rows is None
-    rows = ordered.rows if small else with_neighbours(ordered, back=moving_rows - 1, ahead=1)
-    local = (Window if small else Window.partitionBy("_home")).orderBy("rn")
+    rows = with_neighbours(ordered, back=moving_rows - 1, ahead=1)
+    local = Window.partitionBy("_home").orderBy("rn")
     frame = local.rowsBetween(-(moving_rows - 1), 0)
     rows = rows.select(
         "*", F.lag(value, 1).over(local).alias(prev), F.lead(value, 1).over(local).alias(nxt),
         F.try_divide(F.sum(value).over(frame).cast("double"), F.count(value).over(frame).cast("double")).alias(moving),
     )
-    if small:
-        return with_running_sum(OrderedRows(rows, ordered.count_rows, None), value, running)
     rows = _running(rows, value, running, F.col("_own"), part="_home")
     return rows.filter("_own").drop("_home", "_own", "_block")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, ratio, total
 from ..operators.ordered import (
-    ntile, number_rows, running_and_neighbours, with_next, with_ranks,
+    BLOCK_ROWS, ntile, number_rows, running_and_neighbours, with_next, with_ranks,
 )
 
 
@@ -64,11 +64,11 @@ def order_line_detail(orders: DataFrame, customers: DataFrame, items: DataFrame,
     )
 
 
-def customer_spend_ranks(customers: DataFrame, orders: DataFrame, block_rows: int | None = None) -> DataFrame:
+def customer_spend_ranks(customers: DataFrame, orders: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     spend = customer_spend(customers.select("customer_id", "first_name", "last_name"), orders).select(
         "customer_id", "first_name", "last_name", F.coalesce("spent", F.lit(0)).alias("spent")
     )
-    ordered = number_rows(spend, [F.desc("spent"), F.asc("customer_id")], block_rows, at_most=customers)
+    ordered = number_rows(spend, [F.desc("spent"), F.asc("customer_id")], block_rows)
     return with_ranks(ordered, "spent").select(
         "customer_id", "first_name", "last_name", dbl("spent").alias("total_spent"),
         F.col("rn").alias("spending_rank"), F.col("rank").alias("spending_rank_with_ties"),
@@ -76,9 +76,9 @@ def customer_spend_ranks(customers: DataFrame, orders: DataFrame, block_rows: in
     )
 
 
-def running_and_moving(orders: DataFrame, from_ds: str, block_rows: int | None = None) -> DataFrame:
+def running_and_moving(orders: DataFrame, from_ds: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     picked = orders.filter(F.col("ds") >= from_ds).select("order_id", "order_date", "total_amount")
-    ordered = number_rows(picked, [F.asc("order_date"), F.asc("order_id")], block_rows, at_most=orders)
+    ordered = number_rows(picked, [F.asc("order_date"), F.asc("order_id")], block_rows)
     out = running_and_neighbours(ordered, "total_amount", "running_total", "moving_avg_3_orders", 3,
                                  "prev_order_amount", "next_order_amount")
     return out.select(
@@ -155,7 +155,7 @@ def _residents(customers: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def same_city_pairs(customers: DataFrame, block_rows: int | None = None) -> DataFrame:
+def same_city_pairs(customers: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Customers of one city, in linear space.
 
     The pairs of a city of n people are the n(n-1)/2 pairs of its customers in
@@ -164,7 +164,7 @@ def same_city_pairs(customers: DataFrame, block_rows: int | None = None) -> Data
     its pairs, and ``sum(later_partners)`` is the number of pairs.  Use
     ``same_city_partners`` to list the pairs of chosen customers.
     """
-    ordered = number_rows(_residents(customers), [F.asc("place"), F.asc("customer_id")], block_rows, at_most=customers)
+    ordered = number_rows(_residents(customers), [F.asc("place"), F.asc("customer_id")], block_rows)
     linked = with_next(ordered, F.struct("place", "customer_id", "name"), "nxt")
     ends = ordered.rows.groupBy("place").agg(F.max("rn").alias("last"))
     return (

@@ -123,7 +123,7 @@ def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame
         F.coalesce("unique_customers", zero).alias("unique_customers"),
         F.coalesce("avg_price", F.lit(0.0)).alias("avg_selling_price"),
     )
-    ranked = number_rows(m, [F.desc("revenue"), F.asc("product_id")], at_most=products).rows
+    ranked = number_rows(m, [F.desc("revenue"), F.asc("product_id")]).rows
     rank, revenue = F.col("rn"), F.col("revenue")
     tier = label([(rank <= 5, "Top Performer"), (rank <= 20, "Good Performer"), (rank <= 50, "Average Performer"),
                   (revenue > 0, "Under Performer")], "No Sales")
@@ -149,7 +149,7 @@ def page_rank_by_views(page_views: DataFrame, ds: str) -> DataFrame:
     pages = page_views.filter(F.col("ds") == ds).groupBy("page_url").agg(
         F.countDistinct("session_id").alias("sessions_with_views"), F.count("*").alias("total_views")
     )
-    rows = number_rows(pages, [F.desc("total_views"), F.asc("page_url")], at_most=page_views).rows
+    rows = number_rows(pages, [F.desc("total_views"), F.asc("page_url")]).rows
     return rows.withColumnRenamed("rn", "page_rank")
 
 
@@ -204,6 +204,9 @@ def web_analytics_summary(sessions: DataFrame, page_views: DataFrame, orders: Da
 # ---- change detection ----------------------------------------------------
 
 def _payload(side: str, variant: str) -> Column:
+    if variant == "rows":
+        whole = F.to_json(F.struct(*[F.col(f"{side}.{f}").alias(f) for f in ("first_name", "last_name", "email")]), {"ignoreNullFields": "false"})
+        return F.when(F.col(f"{side}.customer_id").isNotNull(), whole)
     fields = ["first_name", "last_name", "email"] if variant == "v1" else ["first_name", "email"]
     parts: list[Column] = []
     for i, f in enumerate(fields):
@@ -217,7 +220,8 @@ def snapshot_change_detect(current: DataFrame, previous: DataFrame, variant: str
     """Rows added, removed or changed between two snapshots.
 
     Without ``null_safe`` a change from or to NULL goes unnoticed, as with a
-    plain ``<>``.  A NULL field makes the whole v1 payload NULL.
+    plain ``<>``.  A NULL field makes the whole v1 payload NULL, v2 leaves out the last name; ``variant="rows"`` is
+    a lossless payload, the one that ``cdc_apply`` takes.
     """
     cols = ["customer_id", "first_name", "last_name", "email"]
     cur, old = current.select(*cols).alias("cur"), previous.select(*cols).alias("old")

@@ -74,13 +74,22 @@ def dashboard_feed(events: DataFrame, width: str = "1 hour") -> DataFrame:
 PAYLOAD = "first_name string, last_name string, email string"
 
 
-def cdc_apply(base: DataFrame, changes: DataFrame, order_by: str | None = None) -> DataFrame:
-    """Base table after the changes: the latest change of a key wins."""
+def cdc_apply(base: DataFrame, changes: DataFrame, order_by: str | None = None, sequence: str | None = None) -> DataFrame:
+    """Base table after the changes: the latest change of a key wins, by ``order_by`` and then ``sequence``.
+
+    Equal times without a sequence fall to the larger payload, so a rerun gives the same table.  A payload that
+    is not whole JSON with all fields stops the job.
+    """
     latest = changes
     if order_by:
-        picked = F.max_by(F.struct("change_type", "new_data"), order_by).alias("c")
-        latest = changes.groupBy("customer_id").agg(picked).select("customer_id", "c.*")
-    new = latest.select("customer_id", "change_type", F.from_json("new_data", PAYLOAD).alias("n"))
+        last = F.struct(order_by, *([sequence] if sequence else []), "change_type", "new_data")
+        latest = changes.groupBy("customer_id").agg(F.max(last).alias("c")).select("customer_id", "c.change_type", "c.new_data")
+    names = F.array(*[F.lit(c.split()[0]) for c in PAYLOAD.split(", ")])
+    whole = F.coalesce(F.size(F.array_except(names, F.json_object_keys("new_data"))) == 0, F.lit(False))
+    parsed = F.when((F.col("change_type") != "DELETE") & ~whole, F.raise_error(F.concat(
+        F.lit("change without a whole payload: "), F.col("customer_id").cast("string"))).cast(
+        "struct<first_name:string,last_name:string,email:string>")).otherwise(F.from_json("new_data", PAYLOAD))
+    new = latest.select("customer_id", "change_type", parsed.alias("n"))
     old = base.select("customer_id", F.struct("first_name", "last_name", "email").alias("o"))
     merged = old.join(new, "customer_id", "full_outer").filter(F.coalesce(F.col("change_type"), F.lit("")) != "DELETE")
     return merged.select("customer_id", F.when(F.col("change_type").isNotNull(), F.col("n")).otherwise(F.col("o")).alias("r")).select(

@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import count_if, dbl, label, mean, pct, ratio, sample_stddev
+from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
 from ..functions.strings import EMAIL_PATTERN, initcap_words
-from ..operators.ordered import number_rows, percent_rank, with_ranks
+from ..operators.ordered import BLOCK_ROWS, number_rows, percent_rank, with_ranks
 from ..operators.rules import Rule, active_rules, assess, assess_table, score, standard_rules
 
 # Spellings folded into one country name.
@@ -66,7 +66,7 @@ def data_profile(df: DataFrame, table: str, columns: list[ColumnProfile]) -> Dat
         aggs += [F.count(x).alias(f"c{i}"), F.countDistinct(x).alias(f"d{i}"),
                  F.min(x).cast("string").alias(f"lo{i}"), F.max(x).cast("string").alias(f"hi{i}")]
         if c.numeric:
-            aggs += [F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}")]
+            aggs += [F.sum(x).alias(f"s{i}"), F.stddev_samp(dbl(x)).alias(f"q{i}")]
     rows = []
     for i, c in enumerate(columns):
         nulls = F.col("n") - F.col(f"c{i}")
@@ -78,7 +78,7 @@ def data_profile(df: DataFrame, table: str, columns: list[ColumnProfile]) -> Dat
             (F.col(f"lo{i}") if c.bounds else none).alias("min_value"),
             (F.col(f"hi{i}") if c.bounds else none).alias("max_value"),
             (ratio(F.col(f"s{i}"), F.col(f"c{i}")) if c.numeric else num).alias("avg_value"),
-            (sample_stddev(F.col(f"s{i}"), F.col(f"q{i}"), F.col(f"c{i}")) if c.numeric else num).alias("std_dev"),
+            (F.col(f"q{i}") if c.numeric else num).alias("std_dev"),
         ))
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select(F.lit(table).alias("table_name"), "r.*")
 
@@ -137,19 +137,19 @@ def _quartiles(ranked: DataFrame, value: str, n: int) -> DataFrame:
         picks[name] = (low + (high - low) * F.lit(rest) / F.lit(4)).cast("decimal(28,10)").alias(name)
     x = F.col(value)
     return ranked.agg(
-        F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("sq"), *picks.values()
+        F.count(x).alias("n"), F.sum(x).alias("s"), F.stddev_samp(dbl(x)).alias("sq"), *picks.values()
     ).select(
         "n", ratio(F.col("s"), F.col("n")).alias("mean_value"),
-        sample_stddev(F.col("s"), F.col("sq"), F.col("n")).alias("stddev_value"), "q1", "q3",
+        F.col("sq").alias("stddev_value"), "q1", "q3",
         (F.col("q1") - (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")).alias("lower_fence"),
         (F.col("q3") + (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")).alias("upper_fence"),
     )
 
 
 def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount",
-                  block_rows: int | None = None) -> DataFrame:
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows, at_most=orders)
+    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows)
     stats = _quartiles(ordered.rows, value, ordered.n)
     return stats.select(F.col("n").alias("total_records"), F.round("mean_value", 6).alias("mean_amount"),
                         F.round("stddev_value", 6).alias("stddev_amount"),
@@ -157,14 +157,14 @@ def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_
 
 
 def outlier_detect(orders: DataFrame, key: str = "order_id", value: str = "total_amount", table: str = "orders",
-                   block_rows: int | None = None) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows far from the mean or outside the quartile fences.
 
     One global order yields the quartiles and the percent rank; the statistics
     are a single row, read as a scalar.
     """
     picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows, at_most=orders)
+    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows)
     stats = _quartiles(ordered.rows, value, ordered.n)
     ranked = with_ranks(ordered, value).withColumn("st", stats.select(F.struct("*")).scalar())
     x, lo, hi = F.col(value), F.col("st.lower_fence"), F.col("st.upper_fence")

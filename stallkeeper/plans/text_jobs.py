@@ -120,14 +120,31 @@ def pii_mask_counts(masked: DataFrame, group: str) -> DataFrame:
         count_if(F.col("phone_masked")).alias("masked_phones"))
 
 
-def mask_text_emails(docs: DataFrame, variant: str = "v1") -> DataFrame:
-    """Mask every address inside a text; a word that is a whole address counts."""
-    masked = strings.mode_sql("w", "mask_email", variant)
-    body = f"array_join(transform(split(text, ' '), w -> {masked}), ' ')"
-    return docs.select("doc_id", "text", F.expr(body).alias("masked_text")).select(
+def mask_runs(column: str, pattern: str, masked: str) -> str:
+    """Text with ``masked`` (of ``h``) in the place of each match; nothing else changes."""
+    p = strings.lit(pattern)
+    return (f"array_join(zip_with(split({column}, {p}, -1), concat(regexp_extract_all({column}, {p}, 0), array('')), "
+            f"(rest, h) -> concat(rest, if(h = '', '', {masked}))), '')")
+
+
+def mask_text(docs: DataFrame, variant: str = "v1") -> DataFrame:
+    """Mask every address and phone number inside a text, whatever stands next to it.
+
+    Phone numbers are masked as in v1, the only published form.
+    """
+    mails = mask_runs("text", strings.EMAIL_PATTERN.strip("^$"), strings.mode_sql("h", "mask_email", variant))
+    # the digits behind a number belong to it, or they would make another with the four that stay
+    phones = mask_runs("masked_text", strings.PHONE_PATTERN + "[0-9]*", strings.mode_sql("h", "mask_phone", "v1"))
+    return docs.select("doc_id", "text", F.expr(mails).alias("masked_text")).withColumn("masked_text", F.expr(phones)).select(
         "doc_id", "masked_text", (F.col("masked_text") != F.col("text")).alias("changed"))
 
 
+def unmasked_left(masked: DataFrame, column: str = "masked_text") -> DataFrame:
+    """Addresses and phone numbers still in the texts."""
+    n = lambda p: F.coalesce(F.sum(F.size(F.regexp_extract_all(column, F.lit(p), F.lit(0)))), F.lit(0)).cast("bigint")
+    return masked.agg(n(strings.EMAIL_PATTERN.strip("^$")).alias("emails_left"), n(strings.PHONE_PATTERN).alias("phones_left"))
+
+
 def contact_validation(table: DataFrame, group: str, email: str = "email", phone: str = "phone") -> DataFrame:
     mail, tel = F.expr(strings.is_email(email)), F.expr(strings.is_phone(phone))
     return table.groupBy(group).agg(

@@ -86,9 +86,23 @@ select order_id, case when order_id%173=0 then customer_id+1000000000 else custo
 from {shop_orders}""",
     "dirty_products": """
 select product_id, price, case when product_id%59=0 then price+1 else cost end cost from {shop_products}""",
-    # customers without orders and products without sales, for the empty branches
-    "active_orders": "select * from {shop_orders} where customer_id%11<>0",
-    "sold_items": "select * from {shop_order_items} where product_id%13<>0",
+    # customers without orders, products without sales, and items of unknown orders and products, for the empty branches
+    "prospects": """
+select * from {shop_customers}
+union all
+select customer_id+2000000000, first_name, last_name, email, phone, registration_date, country, city, age_group
+from {shop_customers} where customer_id%11=0""",
+    "catalog": """
+select * from {shop_products}
+union all
+select product_id+2000000000, product_name, category, brand, price, cost, supplier_id, launch_date
+from {shop_products} where product_id%13=0""",
+    "loose_items": """
+select order_id, product_id from {shop_order_items}
+union all
+select order_id+2000000000, product_id from {shop_order_items} where order_id%11=0
+union all
+select order_id, product_id+2000000000 from {shop_order_items} where product_id%13=0""",
     "shop_text": """
 select doc_id, lang, source,
  case doc_id%8
@@ -96,10 +110,11 @@ select doc_id, lang, source,
   when 1 then text||' terrible and broken, the worst'
   when 2 then text||' not good'
   when 3 then '<p>'||text||'</p> Fish &amp; chips, call 123-456-7890 or see http://example.com/a?b=1'
-  when 4 then '这个产品非常好我很喜欢质量不错'
   when 5 then text||' write to jane.doe@example.com now'
   else text end text
-from {documents}""",
+from {documents}
+union all
+select doc_id+1000000000, lang, source, '这个产品非常好我很喜欢质量不错' from {documents} where doc_id%8=4""",
 }
 
 _HOLE = re.compile(r"\{(\w+)\}")

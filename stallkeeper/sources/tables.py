@@ -15,17 +15,16 @@ CORRUPT = "_corrupt_record"
 
 # ---- raw files -----------------------------------------------------------
 
-def read_csv_raw(spark: SparkSession, path: str, header: list[str] | None = None, keep_bad: bool = True) -> DataFrame:
-    """All fields as text; rows of the wrong length fill ``_corrupt_record``
-    or, without ``keep_bad``, are left out.
+def read_csv_raw(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+    """All fields as text; rows of the wrong length fill ``_corrupt_record``.
 
     ``header`` names the fields of files without a header line.
     """
     names = header or spark.read.option("header", True).csv(path).columns
-    fields = [StructField(n, StringType()) for n in names] + ([StructField(CORRUPT, StringType())] if keep_bad else [])
+    fields = [StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())]
     reader = (
         spark.read.schema(StructType(fields)).option("header", header is None).option("quote", '"')
-        .option("escape", '"').option("mode", "PERMISSIVE" if keep_bad else "DROPMALFORMED").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         # a row's length is only checked when all fields are parsed
         .option("columnPruning", False)
     )
@@ -41,11 +40,36 @@ def bind_schema(raw: DataFrame, schema: StructType) -> DataFrame:
     ])
 
 
-def csv_ingest(spark: SparkSession, path: str, table: str, header: list[str] | None = None) -> DataFrame:
-    """Well-formed rows of a raw file in the declared schema (without ``ds``)."""
-    raw = read_csv_raw(spark, path, header, keep_bad=False)
+def csv_split(spark: SparkSession, path: str, table: str, header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): rows in the declared schema without ``ds``, and (line, reason) of all others.
+
+    A row is rejected if it has too few or too many fields or a value that does not fit its column's type.
+    The two parts read one staged table and sum to the file.
+    """
+    raw = stage(read_csv_raw(spark, path, header), "parsed")
     schema = StructType([f for f in schema_of("ods", table).fields if f.name != "ds"])
-    return bind_schema(raw, schema)
+    have = set(raw.columns)
+    misfit = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f"bad value in {f.name}"))
+              for f in schema.fields if f.name in have and not isinstance(f.dataType, StringType)]
+    reason = F.coalesce(F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields")), *misfit)
+    fields = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
+    rejected = raw.filter(reason.isNotNull()).select(F.coalesce(CORRUPT, fields).alias("line"), reason.alias("reason"))
+    return bind_schema(raw.filter(reason.isNull()), schema), rejected
+
+
+def csv_ingest(spark: SparkSession, path: str, table: str, header: list[str] | None = None,
+               rejects: str | None = None) -> DataFrame:
+    """Good rows of a raw file; the others are written to ``rejects``.
+
+    Without that folder a file with rejected rows stops the load.
+    """
+    good, rejected = csv_split(spark, path, table, header)
+    if rejects is not None:
+        rejected.write.mode("append").parquet(rejects)
+    elif not rejected.isEmpty():
+        counts = {r["reason"]: r["count"] for r in rejected.groupBy("reason").count().collect()}
+        raise ValueError(f"{table}: rejected rows and no folder for them: {counts}")
+    return good
 
 
 def quarantine(spark: SparkSession, path: str, header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -85,8 +109,13 @@ def create_layers(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     return made
 
 
-def conform(df: DataFrame, layer: str, table: str) -> DataFrame:
-    return bind_schema(df, schema_of(layer, table))
+def conform(df: DataFrame, layer: str, table: str, optional: tuple[str, ...] = ()) -> DataFrame:
+    """Declared columns of a published table; one that is absent must be named in ``optional``."""
+    schema = schema_of(layer, table)
+    missing = [f.name for f in schema.fields if f.name not in df.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"{layer}.{table}: no column {', '.join(missing)}")
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def overwrite_partition(df: DataFrame, path: str, ds: str) -> None:

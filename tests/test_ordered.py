@@ -23,8 +23,7 @@ def plain_ranks(df):
 
 
 def blocked_ranks(df, block_rows):
-    # without a block length the count of ``at_most`` selects the one-task path
-    o = number_rows(df, [F.desc("v"), F.asc("id")], block_rows, at_most=df)
+    o = number_rows(df, [F.desc("v"), F.asc("id")], **({"block_rows": block_rows} if block_rows else {}))
     rows = with_ranks(o, "v").select("id", "rn", "rank", "dense_rank", ntile(o.n, 4, F.col("rn")).alias("nt"),
                                      percent_rank(o.n, F.col("rank")).alias("pr")).collect()
     return {r["id"]: (r["rn"], r["rank"], r["dense_rank"], r["nt"], r["pr"]) for r in rows}
@@ -59,7 +58,7 @@ def test_running_and_neighbours(spark, n, block_rows):
     got = running_and_neighbours(number_rows(df, [F.asc("id")], block_rows), "v", "run", "mov", 3, "prev", "nxt").select(
         "id", "run", "mov", "prev", "nxt").collect()
     assert sorted(map(tuple, got), key=lambda r: r[0]) == sorted(map(tuple, want), key=lambda r: r[0])
-    small = running_and_neighbours(number_rows(df, [F.asc("id")], at_most=df), "v", "run", "mov", 3, "prev", "nxt")
+    small = running_and_neighbours(number_rows(df, [F.asc("id")]), "v", "run", "mov", 3, "prev", "nxt")
     rows = small.select("id", "run", "mov", "prev", "nxt").collect()
     assert sorted(rows, key=lambda r: r[0]) == sorted(got, key=lambda r: r[0])
 

@@ -32,7 +32,7 @@ def test_plain_window_only_over_summaries(spark, shop):
     """Windows without partition keys sit above a grouped aggregate."""
     from stallkeeper.plans import analytics
 
-    text = plan(analytics.customer_spend_ranks(shop.customers, shop.active_orders, block_rows=100))
+    text = plan(analytics.customer_spend_ranks(shop.prospects, shop.orders, block_rows=100))
     singles = re.findall(r"Exchange SinglePartition[^\n]*\n[^\n]*?(\w+Aggregate|\w+)\b", text)
     assert singles and all("Aggregate" in s for s in singles)
 
