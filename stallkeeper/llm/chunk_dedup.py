@@ -90,7 +90,7 @@ def chunks(docs: DataFrame, average: int = 24, longest: int = 256) -> DataFrame:
 def repeated_passages(docs: DataFrame, min_words: int = 25, average: int = 24, longest: int = 256) -> DataFrame:
     """(doc_id, version, start, end, n_words, n_chunks, first_doc_id): passages that other documents share.
 
-    first_doc_id is the smallest doc_id that holds a chunk of the passage; it is the document itself where the passage is first.
+    Up to first_doc_id every chunk of the passage has been seen; it is the document itself where the passage is first.
     """
     # a chunk is repeated if the smallest and the largest of its documents differ
     held = chunks(docs, average, longest).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -100,7 +100,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 25, average: int = 24, l
     order = Window.partitionBy("doc_id", "version").orderBy("seq")
     runs = rows.withColumn("run", F.col("seq") - F.row_number().over(order)).groupBy("doc_id", "version", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"),
-        F.min("first").alias("first_doc_id"))
+        F.max("first").alias("first_doc_id"))
     return runs.filter(F.col("n_words") >= min_words).drop("run")
 
 

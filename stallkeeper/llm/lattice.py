@@ -88,7 +88,7 @@ def lattice(words: DataFrame, table: DataFrame, longest_piece: int, keys: list[s
 
 def _fold_viterbi(n: Column) -> Column:
     """Cut places of the best path; a character without an edge of its own costs more than any path of pieces."""
-    penalty, low = -1e7, -1e300
+    penalty = -1e12
 
     def step(acc, j):
         # edges that end at j, and one character for the bytes
