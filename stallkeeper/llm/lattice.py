@@ -9,9 +9,10 @@ with Spark's higher-order aggregate finds the segmentation:
 * ``fold="merges"``: the merges of a BPE model replayed on the same edges, best score first, ties to the left.  A BPE model's
   result is not its best path (they agree on 40 to 66 % of the words of the test texts), so this is the default.
 
-A character without a piece becomes its UTF-8 bytes.  Documents are dealt into blocks of bounded size once; words, lattice and
-assembly of a block stay where its documents are, so word occurrences are never shuffled.  Words longer than ``longest``
-characters, whose folds would be too large, go through the sentencepiece library, with the same result.
+A character without a piece becomes its UTF-8 bytes.  Documents form blocks of bounded size by the partition that reads them.
+Only the distinct words of a block are shuffled, never their occurrences; their ids meet the texts of
+the block once, for the assembly.  Words longer than ``longest`` characters, whose folds would be too large, and words without
+any edge go through the sentencepiece library there, with the same result.
 
 Null and empty texts have no ids.  Rows are encoded one by one, so ties, repeated rows and null ids need no rule.
 Columns other than doc_id and text are not read.
@@ -20,6 +21,8 @@ Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,6 +32,13 @@ BLOCK_CHARS = 24_000_000
 STEP = 1 << 20  # edge key: start * STEP + end
 
 
+def _letters() -> str:
+    """Ranges of all letters, for a character class."""
+    flags = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
+
+
 class Pieces:
     """The piece table of a model and what follows from it."""
 
@@ -47,8 +57,12 @@ class Pieces:
         crossing = {(kind(a), kind(b)) for p, _, _ in self.rows for a, b in zip(p, p[1:], strict=False)}
         if {(1, 0), (2, 0)} & crossing:
             raise ValueError("pieces reach across blanks")
+        mixed = bool({(1, 2), (2, 1)} & crossing)
+        #: the same words for Python, which has no class of all letters
+        self.cut = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if mixed else (
+            rf"{BLANK}*[{_letters()}]+|{BLANK}*[^{_letters()}{BLANK}]+|{BLANK}+"))
         #: runs of one kind of character with the blanks before them, if no piece mixes the kinds
-        self.words = rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if {(1, 2), (2, 1)} & crossing else (
+        self.words = rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if mixed else (
             rf"{BLANK}*\p{{L}}+|{BLANK}*[^\p{{L}}{BLANK}]+|{BLANK}+")
 
     def decode(self, ids) -> str:
@@ -147,14 +161,11 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
     """(doc_id, n_tokens, ids, round_trip) of whole texts."""
     p, spark = pieces(path), docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
-    own = F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 200)), F.lit(blocks)).cast("int")
-    dealt = slim.withColumn("block", own).repartition(int(4 * blocks), "block")
-    cut = dealt.select("block", "doc_id", segments(F.col("text"), p.words).alias("words"))
-    seen = cut.select("block", F.explode(F.array_distinct("words")).alias("word")).filter(F.length("word") <= longest).groupBy("block", "word").agg(
-        F.count("*").alias("n")).select("block", "word")
-    # a word without any piece has no edges; its bytes need no lattice either and are written by the assembly
+    size, parts = slim.select(F.length("text").alias("n"), F.spark_partition_id().alias("p")).agg(F.sum("n"), F.max("p")).first()
+    split = max(1, -(-(size or 0) // (block_chars * ((parts or 0) + 1))))  # blocks of a partition
+    block = (F.spark_partition_id() * int(split) + F.pmod(F.xxhash64("text"), F.lit(split)).cast("int")).alias("block")
+    seen = slim.select(block, F.explode(F.array_distinct(segments(F.col("text"), p.words))).alias("word")).filter(
+        F.length("word") <= longest).groupBy("block", "word").agg(F.count("*").alias("n")).select("block", "word")
     known = encode_words(seen, path, fold, ("block", "word"))
 
     def assemble(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -164,29 +175,28 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
         coded = {w: flat[a:b] for w, a, b in zip(right.column("word").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
         del right
         out, good, sizes = [], [], []
-        for batch in left.select(["words"]).to_batches(max_chunksize=200):
-            for words in batch.column(0).to_pylist():
+        for batch in left.select(["text"]).to_batches(max_chunksize=200):
+            for text in batch.column(0).to_pylist():
+                words = own.cut.findall(BLANK + text.replace(" ", BLANK)) if text else []
                 for w in set(words).difference(coded):
-                    coded[w] = _rest(own, w, longest)
+                    coded[w] = _rest(own, w)
                 got = np.concatenate([coded[w] for w in words]) if words else np.zeros(0, np.int32)
                 out.append(got.astype(np.int32))
                 sizes.append(len(got))
-                text = "".join(words).replace(BLANK, " ")[1:]
-                good.append(own.decode(got.tolist()) == text)
+                good.append(own.decode(got.tolist()) == text.replace(BLANK, " "))
         offsets = pa.array(np.cumsum([0] + sizes), pa.int32())
         return pa.table({"doc_id": left.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()), "ids": pa.ListArray.from_arrays(
             offsets, pa.array(np.concatenate(out) if out else np.zeros(0, np.int32), pa.int32())), "round_trip": pa.array(good, pa.bool_())})
 
-    return cut.withColumnRenamed("block", "home").select("home", "doc_id", "words").groupBy("home").cogroup(known.groupBy("block")).applyInArrow(
+    return slim.select(block.alias("home"), "doc_id", "text").groupBy("home").cogroup(known.groupBy("block")).applyInArrow(
         assemble, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
-def _rest(own: Pieces, word: str, longest: int) -> np.ndarray:
-    """Words outside the lattice: very long ones, and those whose characters all lack a piece."""
-    if len(word) <= longest:
-        return np.frombuffer(word.encode(), np.uint8).astype(np.int32) + own.first_byte
-    ids = own.sp.encode(word[1:] if word[0] == BLANK else "\n" + word, num_threads=1)
-    return np.asarray(ids if word[0] == BLANK else ids[2:], np.int32)  # without the blank and the line end in front
+def _rest(own: Pieces, word: str) -> np.ndarray:
+    """Ids of a word outside the lattice: very long, or without any edge."""
+    if word[0] == BLANK:
+        return np.asarray(own.sp.encode(word[1:].replace(BLANK, " "), num_threads=1), np.int32)
+    return np.asarray(own.sp.encode("\n" + word, num_threads=1)[2:], np.int32)  # without the blank and the line end in front
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
