@@ -61,7 +61,7 @@ def _sq(c: str) -> str:
     return f"trim({_sub(c, chr(92) + 's+', ' ')})"
 
 
-_TAG, _AT, _TEL, _URL, _PUNCT = "<[^>]+>", r"\S+@\S+", _PHONE[1:-1].replace(r"[-.\s]", r"[\s.-]"), r"https?://[!$-_a-z]+", r"[^\p{L}\p{N}_\s]"
+_TAG, _AT, _TEL, _URL, _PUNCT = "<[^>]+>", r"\S+@\S+", r"(\+?\d{1,3})?[\s.-]?\(?\d{3}\)?[\s.-]?\d{3}[\s.-]?\d{4}", r"https?://[!$-_a-z]+", r"[^\p{L}\p{N}_\s]"
 _HTML1 = _sub("text", _TAG)
 for _code, _char in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''")):
     _HTML1 = f"replace({_HTML1},'{_code}','{_char}')"
@@ -130,7 +130,7 @@ def _is_mail(c: str) -> str:
 
 def _mask1(c: str) -> str:
     d = f"split_part({c},'@',2)"
-    return (f"case when {_is_mail(c)} then {_stars(f'split_part({c},chr(64),1)')}||'@'||{_stars(f'split_part({d},chr(46),1)')}||'.'||split_part({d},'.',2) else {c} end")
+    return (f"case when {_is_mail(c)} then {_stars(f"split_part({c},'@',1)")}||'@'||{_stars(f"split_part({d},'.',1)")}||'.'||split_part({d},'.',2) else {c} end")
 
 
 def _mask2(c: str) -> str:
