@@ -93,11 +93,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         cur.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``chars`` characters each."""
+def slices(texts: list[str] | list[int], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``chars`` characters each; of texts or their lengths."""
     start = held = 0
     for i, t in enumerate(texts):
-        held += len(t)
+        held += t if isinstance(t, int) else len(t)
         if held >= chars:
             yield start, i + 1
             start, held = i + 1, 0

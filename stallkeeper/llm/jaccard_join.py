@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
@@ -33,6 +34,7 @@ from .common import components, slices, small_side
 COMMON_TOKENS = 1_000_000
 COMMON_FROM = 16
 LINEAR_ROUNDS = 3
+SLICE = 1_000_000  # characters that a worker handles at once
 WORDS = 16  # parity bitmaps of 1024 bits
 _BASE = np.uint64(0x9E6C63D0876A9A35)
 
@@ -85,23 +87,29 @@ def _digests(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            seen, kept, sizes, keys = set(), [], [], []
-            for a, b in slices(texts):
-                for s in shingle_sets(texts[a:b], k):
-                    d = _key(s)
-                    if d is not None and d not in seen:
-                        seen.add(d)
-                        kept.append(s)
-                    sizes.append(len(s))
-                    keys.append(d)
-            tokens, n = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.zeros(0, np.uint64),) * 2
-            tokens, n = tokens[n > 1].view(np.int64), n[n > 1].astype(np.int64)
-            none, m = len(ids), len(tokens)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids + [None] * m, pa.int64()), pa.array(sizes + [None] * m, pa.int64()),
-                pa.array(keys + [None] * m, pa.int64()), pa.array([None] * none + tokens.tolist(), pa.int64()),
-                pa.array([None] * none + n.tolist(), pa.int64())], ["doc_id", "size", "key", "token", "n"])
+            ids, texts = batch.column(0), batch.column(1)
+            for start, end in slices(pc.utf8_length(texts).to_pylist(), 6_000_000):
+                seen, kept, sizes, keys = set(), [], [], []
+                part = texts.slice(start, end - start).to_pylist()
+                for a, b in slices(part, SLICE):
+                    for s in shingle_sets(part[a:b], k):
+                        d = _key(s)
+                        if d is not None and d not in seen:
+                            seen.add(d)
+                            kept.append(s)
+                        sizes.append(len(s))
+                        keys.append(d)
+                tokens = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
+                del kept
+                tokens.sort()
+                first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
+                n = np.diff(np.append(first, len(tokens)))
+                tokens, n = tokens[first[n > 1]].view(np.int64), n[n > 1].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(start, end - start), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
+                    pa.nulls(end - start, pa.int64()), pa.nulls(end - start, pa.int64())], ["doc_id", "size", "key", "token", "n"])
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(tokens), pa.int64()) for _ in range(3)), pa.array(tokens), pa.array(n)],
+                                                 ["doc_id", "size", "key", "token", "n"])
 
     return stage(docs.mapInArrow(run, "doc_id long, size long, key long, token long, n long"), "digests")
 
@@ -123,7 +131,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, orders: Orders) -> DataFram
         order = Orders(*shared.value)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 sets = list(shingle_sets(texts[a:b], k))
                 out = [order.prefix(s, _prefix_length(len(s), percent), 0).view(np.int64) for s in sets]
                 ends = np.cumsum([0] + [len(x) for x in out], dtype=np.int32)
@@ -155,7 +163,7 @@ def _whole_sets(docs: DataFrame, k: int, percent: int, orders: Orders) -> DataFr
         order = Orders(*shared.value)
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 sets = list(shingle_sets(texts[a:b], k))
                 more = [[order.prefix(s, _prefix_length(len(s), percent), seed).astype(np.uint32).view(np.int32) for s in sets]
                         for seed in (1, 2)]
