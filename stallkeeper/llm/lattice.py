@@ -10,8 +10,8 @@ with Spark's higher-order aggregate finds the segmentation:
   result is not its best path (they agree on 40 to 66 % of the words of the test texts), so this is the default.
 
 A character without a piece becomes its UTF-8 bytes.  Documents form blocks of bounded size by the partition that reads them.
-Only the distinct words of a block are shuffled, never their occurrences; their ids meet the texts of
-the block once, for the assembly.  Words longer than ``longest`` characters, whose folds would be too large, and words without
+Only the distinct words of a block are shuffled, never their occurrences: each word of the corpus is encoded once, and its ids meet
+the texts of its blocks for the assembly.  Words longer than ``longest`` characters, whose folds would be too large, and words without
 any edge go through the sentencepiece library there, with the same result.
 
 Null and empty texts have no ids.  Rows are encoded one by one, so ties, repeated rows and null ids need no rule.
@@ -22,13 +22,17 @@ from __future__ import annotations
 
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import stage
+
 BLANK = "▁"
 BLOCK_CHARS = 24_000_000
+WORDS_AT_ONCE = 20_000
 STEP = 1 << 20  # edge key: start * STEP + end
 
 
@@ -58,12 +62,9 @@ class Pieces:
         if {(1, 0), (2, 0)} & crossing:
             raise ValueError("pieces reach across blanks")
         mixed = bool({(1, 2), (2, 1)} & crossing)
-        #: the same words for Python, which has no class of all letters
+        #: runs of one kind of character with the blanks before them, if no piece mixes the kinds
         self.cut = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if mixed else (
             rf"{BLANK}*[{_letters()}]+|{BLANK}*[^{_letters()}{BLANK}]+|{BLANK}+"))
-        #: runs of one kind of character with the blanks before them, if no piece mixes the kinds
-        self.words = rf"{BLANK}*[^{BLANK}]+|{BLANK}+" if mixed else (
-            rf"{BLANK}*\p{{L}}+|{BLANK}*[^\p{{L}}{BLANK}]+|{BLANK}+")
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode(errors="replace")
@@ -83,12 +84,6 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(pieces(path).rows, "piece string, id int, score double")
 
 
-def segments(text: Column, pattern: str) -> Column:
-    """The words of a text, blanks written as the model writes them."""
-    marked = F.when(F.length(text) > 0, F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK)))).otherwise("")
-    return F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))
-
-
 def lattice(words: DataFrame, table: DataFrame, longest_piece: int, keys: list[str]) -> DataFrame:
     """(keys, edges): edges (key, id, score) of each word, in order; ``keys`` end with the word."""
     n = F.length("word")
@@ -163,10 +158,13 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size, parts = slim.select(F.length("text").alias("n"), F.spark_partition_id().alias("p")).agg(F.sum("n"), F.max("p")).first()
     split = max(1, -(-(size or 0) // (block_chars * ((parts or 0) + 1))))  # blocks of a partition
-    block = (F.spark_partition_id() * int(split) + F.pmod(F.xxhash64("text"), F.lit(split)).cast("int")).alias("block")
-    seen = slim.select(block, F.explode(F.array_distinct(segments(F.col("text"), p.words))).alias("word")).filter(
-        F.length("word") <= longest).groupBy("block", "word").agg(F.count("*").alias("n")).select("block", "word")
-    known = encode_words(seen, path, fold, ("block", "word"))
+    block = (F.spark_partition_id() * int(split) + F.pmod(F.xxhash64("text"), F.lit(split))).cast("long").alias("block")
+    seen = slim.select(block, "text").mapInArrow(_block_words(path, longest), "block long, word string").groupBy("block", "word").agg(
+        F.count("*").alias("n")).select("block", "word")
+    words = stage(seen.select("word").distinct(), "words")
+    # small partitions, so that the edges of one are grouped in memory
+    dealt = words.repartition(max(1, -(-words.count() // WORDS_AT_ONCE)), "word")
+    known = seen.join(stage(encode_words(dealt, path, fold), "known"), "word")
 
     def assemble(key, left: pa.Table, right: pa.Table) -> pa.Table:
         own = pieces(path)
@@ -192,6 +190,23 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
         assemble, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
+def _block_words(path: str, longest: int):
+    """Distinct words of the texts of a batch, for each block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pieces(path)
+        for batch in batches:
+            found: dict[int, set[str]] = {}
+            for home, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text:
+                    found.setdefault(home, set()).update(own.cut.findall(BLANK + text.replace(" ", BLANK)))
+            for home, words in found.items():
+                keep = [w for w in words if len(w) <= longest]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), home, np.int64)), pa.array(keep, pa.string())], ["block", "word"])
+
+    return run
+
+
 def _rest(own: Pieces, word: str) -> np.ndarray:
     """Ids of a word outside the lattice: very long, or without any edge."""
     if word[0] == BLANK:
