@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -17,7 +18,7 @@ from stallkeeper.operators import rules  # noqa: E402
 from stallkeeper.plans import (  # noqa: E402
     analytics, basic, etl, features, pipeline, quality, text_jobs, validation,
 )
-from stallkeeper.session import spread, staging_path  # noqa: E402
+from stallkeeper.session import CHECKPOINT_KEY, name_staging_root, spread, stage, staging_path  # noqa: E402
 from stallkeeper.sources import schemas, synth, tables  # noqa: E402
 from stallkeeper.sources.adapters import AS_OF, BIZDATE, WEB_DATE, Shop  # noqa: E402
 from stallkeeper.streaming import jobs as streams  # noqa: E402
@@ -39,6 +40,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["daily_sales_summary"](spark, "/root/testdata/sf0.001")
 
 
+def _with_folder(query: Query) -> Query:
+    """Only a local session without a shared folder gets one of its own."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get(CHECKPOINT_KEY, None) is None and spark.sparkContext.master.startswith("local["):
+            name_staging_root(spark, tempfile.mkdtemp(prefix="stallkeeper-"))
+        return query(spark, sf_dir)
+    return run
+
+
 def _shop(job: Callable[[Shop], DataFrame]) -> Query:
     return lambda spark, sf_dir: job(Shop(spark, sf_dir))
 
@@ -146,11 +156,10 @@ def _overwrite_table(s: Shop) -> DataFrame:
 
 def _retention(s: Shop) -> DataFrame:
     path, _ = _two_loads(s)
-    target = staging_path(s.spark, "kept")
-    df = tables.read_table(s.spark, path)
-    tables.apply_retention(df, target, 365, RETENTION_AS_OF)
-    report = tables.retention_report(df, 365, RETENTION_AS_OF)
-    kept = tables.read_table(s.spark, target).groupBy("ds").agg(F.count("*").alias("rows_after"))
+    days = schemas.RETENTION_DAYS["orders"]
+    report = stage(tables.retention_report(tables.read_table(s.spark, path), days, RETENTION_AS_OF), "report")
+    tables.apply_retention(s.spark, path, days, RETENTION_AS_OF)
+    kept = tables.read_table(s.spark, path).groupBy("ds").agg(F.count("*").alias("rows_after"))
     return report.join(kept, "ds", "left")
 
 
@@ -193,7 +202,7 @@ def _layered(s: Shop) -> DataFrame:
 
 def _job_status(s: Shop) -> DataFrame:
     root = staging_path(s.spark, "status")
-    summary = etl.daily_sales_summary(s.orders, s.order_items, s.products, BIZDATE)
+    summary = etl.daily_sales_summary(s.month_of_orders(BIZDATE), s.order_items, s.products, BIZDATE)
     tables.overwrite_partition(tables.conform(summary.withColumn("ds", F.lit(BIZDATE)), "dwd", "daily_sales_summary"), f"{root}/sales", BIZDATE)
     written = tables.read_table(s.spark, f"{root}/sales")
     start = datetime(1996, 9, 2, 2, 0, 0)
@@ -201,6 +210,11 @@ def _job_status(s: Shop) -> DataFrame:
                           start + timedelta(minutes=12), written)
 
 
+def _web_day(s: Shop) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, page views and purchases of the run date; sessions never cross midnight."""
+    return tuple(s.on_day(v, WEB_DATE) for v in ("shop_web_sessions", "shop_page_views", "shop_purchases"))
+
+
 # ---- data quality ----------------------------------------------------------
 
 def _dirty(s: Shop) -> dict[str, DataFrame]:
@@ -408,20 +422,20 @@ def queries() -> dict[str, Query]:
         "days_since_launch": S(lambda s: basic.days_since_launch(s.products, AS_OF)),
         "partition_filter": S(lambda s: basic.orders_in_partition(s.month_of_orders(BIZDATE), BIZDATE)),
         "ci_substring_match": S(lambda s: basic.brands_like(s.products, "BRAND#1")),
-        "date_parts": S(lambda s: basic.order_date_parts(s.orders, BIZDATE)),
+        "date_parts": S(lambda s: basic.order_date_parts(s.orders_since(BIZDATE), BIZDATE)),
         "profit_margin": S(lambda s: basic.profit_margins(s.products)),
         "exists_semi_join": S(lambda s: basic.customers_with_orders(s.prospects, s.orders)),
         "limit_offset_page": S(lambda s: basic.product_page(s.products, 2)),
         "null_cleanup": S(lambda s: basic.fill_missing(s.dirty_customers)),
         # joins and analytics
-        "orders_with_customer": S(lambda s: analytics.orders_with_customer(s.orders, s.customers, BIZDATE)),
+        "orders_with_customer": S(lambda s: analytics.orders_with_customer(s.orders_since(BIZDATE), s.customers, BIZDATE)),
         "customer_order_summary": S(lambda s: analytics.customer_order_summary(s.prospects, s.orders)),
-        "order_line_detail": S(lambda s: analytics.order_line_detail(s.orders, s.customers, s.order_items, s.products, BIZDATE)),
+        "order_line_detail": S(lambda s: analytics.order_line_detail(s.orders_since(BIZDATE), s.customers, s.order_items, s.products, BIZDATE)),
         "customer_spend_ranks": S(lambda s: analytics.customer_spend_ranks(s.prospects, s.orders)),
-        "running_and_moving": S(lambda s: analytics.running_and_moving(s.orders, BIZDATE)),
+        "running_and_moving": S(lambda s: analytics.running_and_moving(s.orders_since(BIZDATE), BIZDATE)),
         "product_sales_report": S(lambda s: analytics.product_sales_report(s.catalog, s.order_items, s.orders)),
         "customer_segment_rules": S(lambda s: analytics.customer_segment_rules(s.prospects, s.orders, AS_OF)),
-        "monthly_trends": S(lambda s: analytics.monthly_trends(s.orders, "19960101")),
+        "monthly_trends": S(lambda s: analytics.monthly_trends(s.orders_since("19960101"), "19960101")),
         "same_city_pairs": S(lambda s: analytics.same_city_pairs(s.customers)),
         "price_band_crosstab": S(lambda s: analytics.price_band_crosstab(s.products)),
         # layered ETL
@@ -432,14 +446,13 @@ def queries() -> dict[str, Query]:
         "rfm_segments": S(lambda s: etl.customer_segments(s.prospects, s.orders, AS_OF, "v1")),
         "value_segments": S(lambda s: etl.customer_segments(s.prospects, s.orders, AS_OF, "v2")),
         "product_performance": S(lambda s: etl.product_performance(s.catalog, s.order_items, s.orders)),
-        "web_analytics_summary": S(lambda s: etl.web_analytics_summary(s.web_sessions, s.page_views, s.purchases, WEB_DATE)),
-        "web_analytics_summary_by_user": S(lambda s: etl.web_analytics_summary(
-            s.web_sessions, s.page_views, s.purchases, WEB_DATE, keys=("date", "user_id"))),
-        "top_traffic_source": S(lambda s: etl.top_traffic_source(s.web_sessions, WEB_DATE)),
-        "page_rank_by_views": S(lambda s: etl.page_rank_by_views(s.page_views, WEB_DATE)),
-        "session_conversion": S(lambda s: etl.session_conversion(s.web_sessions, s.purchases, WEB_DATE)),
+        "web_analytics_summary": S(lambda s: etl.web_analytics_summary(*_web_day(s), WEB_DATE)),
+        "web_analytics_summary_by_user": S(lambda s: etl.web_analytics_summary(*_web_day(s), WEB_DATE, keys=("date", "user_id"))),
+        "top_traffic_source": S(lambda s: etl.top_traffic_source(_web_day(s)[0], WEB_DATE)),
+        "page_rank_by_views": S(lambda s: etl.page_rank_by_views(_web_day(s)[1], WEB_DATE)),
+        "session_conversion": S(lambda s: etl.session_conversion(_web_day(s)[0], _web_day(s)[2], WEB_DATE)),
         "session_conversion_by_user": S(lambda s: etl.session_conversion(
-            s.web_sessions, s.purchases, WEB_DATE, keys=("date", "user_id"))),
+            _web_day(s)[0], _web_day(s)[2], WEB_DATE, keys=("date", "user_id"))),
         "snapshot_change_detect": S(_changes),
         "snapshot_change_detect_v2": S(lambda s: etl.snapshot_change_detect(s.customers, s.shop_customers_prev, "v2")),
         "snapshot_change_null_safe": S(lambda s: etl.snapshot_change_detect(
@@ -537,12 +550,12 @@ def queries() -> dict[str, Query]:
         "dashboard_feed_stream": S(_dashboard_stream),
         "cdc_apply": S(lambda s: features.cdc_apply(s.shop_customers_prev, _odd_changes(s))), "cdc_apply_stream": S(_cdc_stream),
         "customer_features": S(lambda s: features.customer_features(s.prospects, s.orders, s.order_items, AS_OF)),
-        "copurchase_features": S(lambda s: features.copurchase_features(s.order_items, features.best_sellers(s.order_items))),
+        "copurchase_features": S(lambda s: features.copurchase_pairs(s.order_items)),
         "churn_dataset": S(lambda s: features.churn_dataset(s.customers, s.orders, CUTOFF)),
     }
     if llm_queries:
         q |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
-    return q
+    return {k: _with_folder(f) for k, f in q.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -226,10 +226,9 @@ def _features() -> dict[str, str]:
             coalesce(u,0)::bigint units_bought, dn*1e2/n completed_pct, we*1e2/n weekend_pct, dsc::double/nullif((dsc+ln)::double,0) discount_share
             from prospects left join m using (customer_id)""",
         "copurchase_features": ctes("shop_order_items") + """, l as (select distinct order_id, product_id from shop_order_items),
-            best as (select product_id from shop_order_items group by 1 order by sum(quantity) desc, 1 limit 10),
             sold as (select product_id, count(*) n from l group by 1), nb as (select count(distinct order_id) b from l),
             t as (select x.product_id anchor_id, y.product_id partner_id, count(*) k from l x join l y on x.order_id=y.order_id and x.product_id<>y.product_id
-              where x.product_id in (from best) group by 1,2)
+              group by 1,2 having count(*)>=2)
             select anchor_id, partner_id, k together, k::double/b support, k::double/a.n confidence, (k*b)::double/(a.n*p.n)::double lift
             from t join sold a on a.product_id=anchor_id join sold p on p.product_id=partner_id, nb""",
         "churn_dataset": co + f""", b as (select customer_id, count(*) n, sum(total_amount) s, max(order_date)::date ld,

@@ -3,9 +3,10 @@
 Equal token sets are first folded into one representative.  Distinct sets are
 then matched through their rare tokens only (prefix filtering): sets of size
 x and y with similarity of at least t share ceil(t/(1+t)*(x+y)) tokens, so one
-of the first x-ceil(t*x)+1 tokens in rare-first order is shared.  Size and
-position bounds are part of the join condition, so hopeless pairs are never
-written.  A parity bitmap of each set then bounds the difference of a pair from
+of the first x-ceil(t*x)+1 tokens in rare-first order is shared.  A pair is
+met from its smaller set only, for which the first x-ceil(2t/(1+t)*x)+1 tokens
+are enough, and within neighbouring bands of sizes.  Size and position bounds
+are part of the join condition, so hopeless pairs are never written.  A parity bitmap of each set then bounds the difference of a pair from
 below, and only what is left is verified on the full sets.
 """
 
@@ -84,16 +85,22 @@ def jaccard_join(docs: DataFrame, id_col: str, tokens_sql: str, threshold: float
     hot = heat.filter(F.col("n") > hot_token).select(
         "token", F.ceil(F.col("n") / hot_token).cast("int").alias("parts"))
     salted = prefix.join(hot, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    left = salted.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).select(
-        "token", "part", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))
-    right = salted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "token", "part", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
+    # sizes in the ratio t fall into the same band or neighbouring ones
+    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / t)) + 1e-9).cast("int")
+    salted = salted.withColumn("band", band)
+    index_keep = F.col("size") - F.ceil(F.col("size") * (2 * t / (1 + t)) - 1e-9) + 1
+    left = salted.filter(F.col("pos") < index_keep).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).select(
+        "token", "band", "part", F.col("rep").alias("a"), F.col("size").alias("na"), F.col("pos").alias("pa"))
+    right = salted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
+        "band", F.explode(F.array(F.col("band") - 1, F.col("band")))).select(
+        "token", "band", "part", F.col("rep").alias("b"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
     need = (F.col("na") + F.col("nb")) * (t / (1 + t))
     # at the first shared token nothing before it is shared
     reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    candidates = left.join(right, ["token", "part"]).filter(
-        (F.col("a") < F.col("b")) & (F.col("na") > F.col("nb") * t) & (F.col("nb") > F.col("na") * t) & (reach > need)
-    ).select("a", "b").distinct()
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    candidates = left.join(right, ["token", "band", "part"]).filter(
+        smaller & (F.col("na") > F.col("nb") * t) & (reach > need)
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     maps = stage(parity_bitmaps(sets).join(sets.select("rep", "size"), "rep"), "bitmaps")
     side = lambda s: maps.select(F.col("rep").alias(s), F.struct("size", *[f"w{k}" for k in range(_WORDS)]).alias(f"m{s}"))

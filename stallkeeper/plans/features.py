@@ -145,6 +145,31 @@ def copurchase_features(items: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
+def copurchase_pairs(items: DataFrame, min_together: int = 2) -> DataFrame:
+    """All pairs of products bought together at least ``min_together`` times: support, confidence and lift.
+
+    Products sold in fewer baskets cannot reach that and leave before the join.  Each unordered pair of a basket is
+    formed once and counted before the shuffle; the result has both directions.
+    """
+    lines = items.select("order_id", "product_id").distinct()
+    baskets = lines.agg(F.countDistinct("order_id")).scalar()
+    sold = lines.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min_together)
+    frequent = lines.join(sold.select("product_id"), "product_id", "left_semi")
+    a, b = (frequent.select("order_id", F.col("product_id").alias(x)) for x in ("a", "b"))
+    together = a.join(b, "order_id").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("together")).filter(
+        F.col("together") >= min_together)
+    both = together.select(F.col("a").alias("anchor_id"), F.col("b").alias("partner_id"), "together").unionByName(
+        together.select(F.col("b").alias("anchor_id"), F.col("a").alias("partner_id"), "together"))
+    return (
+        both.join(sold.select(F.col("product_id").alias("partner_id"), F.col("n").alias("n_product")), "partner_id")
+        .join(sold.select(F.col("product_id").alias("anchor_id"), F.col("n").alias("n_anchor")), "anchor_id")
+        .withColumn("baskets", baskets)
+        .select("anchor_id", "partner_id", "together", ratio(F.col("together"), F.col("baskets")).alias("support"),
+                ratio(F.col("together"), F.col("n_anchor")).alias("confidence"),
+                ratio(F.col("together") * F.col("baskets"), F.col("n_anchor") * F.col("n_product")).alias("lift"))
+    )
+
+
 def best_sellers(items: DataFrame, k: int = 10) -> DataFrame:
     return items.groupBy("product_id").agg(F.sum("quantity").alias("q")).orderBy(F.desc("q"), "product_id").limit(k)
 

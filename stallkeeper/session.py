@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +25,19 @@ def build_session(app: str = "stallkeeper", cores: str = "*", shuffle_partitions
     return builder.getOrCreate()
 
 
-def staging_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, as the cluster names it.
+_named: dict[str, str] = {}
 
-    Only a local session without the setting gets a temporary folder.
-    """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+
+def name_staging_root(spark: SparkSession, folder: str) -> None:
+    """Folder for a session that has none, as in tests; a running session no longer takes the setting."""
+    _named[spark.sparkContext.applicationId] = folder
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables, as the session names it."""
+    root = spark.conf.get(CHECKPOINT_KEY, None) or _named.get(spark.sparkContext.applicationId)
+    if not root:
         raise ValueError(f"{CHECKPOINT_KEY} must name a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="stallkeeper-")
-    spark.conf.set(CHECKPOINT_KEY, root)
     return root
 
 

@@ -124,14 +124,15 @@ def _needs(name: str) -> list[str]:
     return [h for h in _HOLE.findall(VIEWS[name]) if h in VIEWS]
 
 
-def spark_text(name: str, sf_dir: str) -> str:
-    """View text with base tables as parquet paths, views inlined."""
+def spark_text(name: str, sf_dir: str, where: dict[str, str] | None = None) -> str:
+    """View text with base tables as parquet paths, views inlined; ``where`` filters base tables at their scans."""
 
     def fill(match: re.Match) -> str:
         hole = match.group(1)
         if hole in VIEWS:
-            return f"({spark_text(hole, sf_dir)})"
-        return f"parquet.`{sf_dir}/{hole}.parquet`"
+            return f"({spark_text(hole, sf_dir, where)})"
+        path = f"parquet.`{sf_dir}/{hole}.parquet`"
+        return f"(select * from {path} where {where[hole]})" if where and hole in where else path
 
     return _HOLE.sub(fill, VIEWS[name])
 
@@ -168,6 +169,16 @@ class Shop:
             return self.spark.sql(spark_text(f"shop_{name}", self.sf_dir))
         raise AttributeError(name)
 
+    def orders_since(self, ds: str) -> DataFrame:
+        """Load partitions from ``ds`` on, with the date bound pushed to the scan: a partition holds no day before its own."""
+        return self.orders.filter((F.col("order_date") >= F.to_timestamp(F.lit(ds), "yyyyMMdd")) & (F.col("ds") >= ds))
+
+    def on_day(self, view: str, ds: str) -> DataFrame:
+        """A view over ``events`` of one day, with the day's bounds pushed to the scan."""
+        day = f"{ds[:4]}-{ds[4:6]}-{ds[6:]}"
+        bounds = f"ts >= timestamp_ntz'{day} 00:00:00' and ts < timestamp_ntz'{day} 00:00:00' + interval 1 day"
+        return self.spark.sql(spark_text(view, self.sf_dir, {"events": bounds}))
+
     def month_of_orders(self, ds: str) -> DataFrame:
         """One load partition of orders, with its date range pushed to the scan."""
         first = F.to_timestamp(F.lit(ds), "yyyyMMdd")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -156,9 +156,15 @@ def retention_report(df: DataFrame, days: int, as_of: str) -> DataFrame:
         "ds", "rows", F.when(within_retention(days, as_of), "kept").otherwise("dropped").alias("action"))
 
 
-def apply_retention(df: DataFrame, target: str, days: int, as_of: str) -> None:
-    """Copy the kept partitions to ``target``; old partitions are not read."""
-    df.filter(within_retention(days, as_of)).write.mode("overwrite").partitionBy("ds").parquet(target)
+def apply_retention(spark: SparkSession, path: str, days: int, as_of: str) -> list[str]:
+    """Drop the expired ``ds`` folders of the table at ``path``; kept partitions are neither read nor written."""
+    cutoff = (date.fromisoformat(as_of) - timedelta(days=days)).strftime("%Y%m%d")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    expired = [p for p in (x.getPath() for x in files.listStatus(folder)) if p.getName().startswith("ds=") and p.getName()[3:] < cutoff]
+    for p in expired:
+        files.delete(p, True)
+    return sorted(p.getName()[3:] for p in expired)
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

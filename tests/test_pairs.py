@@ -102,3 +102,17 @@ def test_top_products_ties(spark):
     items = spark.createDataFrame([(i, 10.0) for i in range(10)], "product_id long, line_total double")
     got = features.top_products_per_category(products, items, 2).orderBy("category", "category_rank").collect()
     assert [(r["category"], r["product_id"]) for r in got] == [("A", 0), ("A", 1), ("B", 8), ("B", 9)]
+
+
+def test_all_copurchase_pairs_match_brute_force(spark):
+    from collections import Counter
+    from itertools import permutations
+
+    rng = random.Random(11)
+    baskets = {o: {rng.choice("abcdefghij") for _ in range(rng.randint(1, 6))} for o in range(60)}
+    rows = [(o, p) for o, b in baskets.items() for p in b for _ in range(rng.randint(1, 2))] + [(900, "z"), (901, "y"), (901, "z")]
+    baskets |= {900: {"z"}, 901: {"y", "z"}}
+    sold, pairs = Counter(p for b in baskets.values() for p in b), Counter(x for b in baskets.values() for x in permutations(b, 2))
+    got = {(r["anchor_id"], r["partner_id"]): (r["together"], r["confidence"], r["lift"]) for r in features.copurchase_pairs(
+        spark.createDataFrame(rows, "order_id long, product_id string"), 3).collect()}
+    assert got == {(a, b): (n, n / sold[a], n * len(baskets) / (sold[a] * sold[b])) for (a, b), n in pairs.items() if n >= 3}

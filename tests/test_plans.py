@@ -42,6 +42,23 @@ def test_month_filter_reaches_the_scan(spark, shop):
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
 
 
+@pytest.mark.parametrize("key,column", [
+    ("date_parts", "o_orderdate"), ("orders_with_customer", "o_orderdate"), ("order_line_detail", "o_orderdate"), ("monthly_trends", "o_orderdate"),
+    ("web_analytics_summary", "ts"), ("top_traffic_source", "ts"), ("session_conversion", "ts")])
+def test_date_bounds_reach_the_scan(spark, key, column):
+    text = plan(entry.queries()[key](spark, SF_DIR))
+    scans = re.findall(r"FileScan parquet[^\n]*/(?:orders|events)\.parquet[^\n]*", text)
+    assert scans and all(f"GreaterThanOrEqual({column}" in s for s in scans)
+
+
+@pytest.mark.parametrize("key", ["customer_spend_ranks", "same_city_pairs", "outlier_detect", "product_performance", "page_rank_by_views"])
+def test_global_order_never_gathers_rows(spark, key):
+    """In registered queries only grouped summaries meet in one partition."""
+    text = plan(entry.queries()[key](spark, SF_DIR))
+    for below in re.findall(r"Exchange SinglePartition[^\n]*\n[^\n]*?\+- [*() 0-9]*(\w+)", text):
+        assert "Aggregate" in below or below in ("Project", "Filter"), below
+
+
 def test_scan_reads_needed_columns_only(spark, shop):
     text = plan(etl.top_product(shop.order_items, shop.month_of_orders(BIZDATE), BIZDATE))
     assert "l_shipdate" not in text and "o_totalprice" not in text and "l_tax" not in text

@@ -71,7 +71,8 @@ def test_partition_overwrite_append_and_pruning(spark, folder):
 def test_retention_keeps_the_last_days(spark, folder):
     df = spark.createDataFrame([(1, "20240101"), (2, "20240114"), (3, "20240115")], "id long, ds string")
     target = folder()
-    tables.apply_retention(df, target, 30, "2024-02-14")
+    df.write.partitionBy("ds").parquet(target)
+    assert tables.apply_retention(spark, target, 30, "2024-02-14") == ["20240101", "20240114"]
     assert {r["id"] for r in tables.read_table(spark, target).collect()} == {3}
     report = {r["ds"]: r["action"] for r in tables.retention_report(df, 30, "2024-02-14").collect()}
     assert report == {"20240101": "dropped", "20240114": "dropped", "20240115": "kept"}
