@@ -51,11 +51,6 @@ def title_case(c: str) -> str:
     return f"array_join(transform({_words(c)}, w -> concat(upper(left(w, 1)), lower(substr(w, 2)))), ' ')"
 
 
-def initcap_words(c: str) -> str:
-    """Title case that keeps the spacing as it is."""
-    return f"array_join(transform(split({c}, ' '), w -> concat(upper(left(w, 1)), lower(substr(w, 2)))), ' ')"
-
-
 def initials(c: str) -> str:
     return f"array_join(transform({_words(c)}, w -> upper(left(w, 1))), '')"
 

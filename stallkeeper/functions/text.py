@@ -75,14 +75,24 @@ def keyword_tokens(c: str, variant: str) -> str:
     return f"filter({tokens(c)}, w -> w rlike '^[a-z]{{3,}}$' and not {in_list('w', KEYWORD_STOP_V2)})"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def word_counts(arr: str) -> str:
+    """array<(w, n, i)>: each word with its count and first place, from one sort instead of a pass per word."""
+    starts = "if(size(ps) = 0, array(), filter(sequence(0, size(ps) - 1), k -> k = 0 or ps[k].w <> get(ps, k - 1).w))"
+    runs = ("transform(st, (p, k) -> named_struct('w', ps[p].w, 'n', cast(coalesce(get(st, k + 1), size(ps)) - p as bigint), 'i', ps[p].i))")
+    return _let(f"array_sort(transform({arr}, (w, i) -> named_struct('w', w, 'i', i)))", "ps", _let(starts, "st", runs))
+
+
 def keywords(c: str, variant: str, top: str = "5") -> str:
     """Per-row top words, ties by first appearance (corpus jobs use a shuffle)."""
-    weight = " * length(w)" if variant == "v1" else ""
-    ranked = (f"array_sort(transform(array_distinct(ws), (w, i) -> "
-              f"named_struct('s', -size(filter(ws, x -> x = w)){weight}, 'i', i, 'w', w)))")
+    weight = " * length(x.w)" if variant == "v1" else ""
+    ranked = f"array_sort(transform({word_counts(keyword_tokens(c, variant))}, x -> named_struct('s', -x.n{weight}, 'i', x.i, 'w', x.w)))"
     # an integer array built from an empty text stays empty, so '' comes out
-    return (f"coalesce(transform(array({keyword_tokens(c, variant)}), "
-            f"ws -> array_join(transform(slice({ranked}, 1, int({top})), k -> k.w), ','))[0], '')")
+    return f"coalesce(array_join(transform(slice({ranked}, 1, int({top})), k -> k.w), ','), '')"
 
 
 def similarity_v1(a: str, b: str) -> str:
@@ -94,13 +104,13 @@ def similarity_v1(a: str, b: str) -> str:
 
 def similarity_v2(a: str, b: str) -> str:
     """Cosine of word counts, four decimals."""
-    count = lambda arr, w: f"size(filter({arr}, x -> x = {w}))"
-    sq = lambda arr: f"aggregate(array_distinct({arr}), 0L, (s, w) -> s + pow({count(arr, 'w')}, 2)::bigint)"
-    dot = (f"aggregate(array_intersect(p.a, p.b), 0L, "
-           f"(s, w) -> s + {count('p.a', 'w')}::bigint * {count('p.b', 'w')})")
-    body = f"round(try_divide(double({dot}), sqrt(double({sq('p.a')})) * sqrt(double({sq('p.b')}))), 4)"
-    pair = f"array(named_struct('a', {tokens(a)}, 'b', {tokens(b)}))"
-    return f"coalesce(transform({pair}, p -> {body})[0], 0.0D)"
+    sq = lambda arr: f"aggregate({arr}, 0L, (s, x) -> s + x.n * x.n)"
+    # in the joined sorted counts a shared word stands next to itself
+    dot = ("aggregate(if(size(m) < 2, array(), sequence(0, size(m) - 2)), 0L, "
+           "(s, k) -> s + if(m[k].w = m[k + 1].w, m[k].n * m[k + 1].n, 0L))")
+    body = _let("array_sort(concat(p.a, p.b))", "m", f"round(try_divide(double({dot}), sqrt(double({sq('p.a')})) * sqrt(double({sq('p.b')}))), 4)")
+    pair = f"named_struct('a', {word_counts(tokens(a))}, 'b', {word_counts(tokens(b))})"
+    return f"coalesce({_let(pair, 'p', body)}, 0.0D)"
 
 
 def word_count(c: str, variant: str) -> str:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
-from ..functions.strings import EMAIL_PATTERN, initcap_words
+from ..functions.strings import EMAIL_PATTERN
 from ..operators.ordered import BLOCK_ROWS, number_rows, percent_rank, with_ranks
 from ..operators.rules import Rule, active_rules, assess, assess_table, score, standard_rules
 
@@ -107,7 +107,7 @@ def standardize_country(c: str = "country") -> Column:
 
 
 def customers_clean(customers: DataFrame) -> DataFrame:
-    city = F.trim(F.expr(initcap_words("city")))
+    city = F.trim(F.initcap("city"))
     flags = F.concat_ws(
         "|",
         F.when(F.col("email") != F.lower(F.trim("email")), "EMAIL_FORMATTED"),
