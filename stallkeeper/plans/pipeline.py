@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,41 +20,52 @@ def daily_pipeline(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    variant: str = "v1", run_ts: datetime | None = None) -> DataFrame:
     """Run all jobs of one day in dependency order and write their partitions.
 
-    Returns (layer, table, rows written).  A rerun replaces the partitions.
+    Returns (layer, table, rows written).  A rerun replaces the partitions.  A job that fails is logged
+    as FAILED with its error, after the jobs before it, and stops the run.
     """
     t = tables
     run_ts = run_ts or datetime.fromisoformat(f"{as_of}T00:00:00")
     written: list[tuple[str, str, str, DataFrame]] = []
     log: list[tuple] = []
 
-    def publish(layer: str, table: str, part: str, df: DataFrame, stamp: str | None = None) -> DataFrame:
+    def publish(layer: str, table: str, part: str, job: Callable[[], DataFrame], stamp: str | None = None) -> DataFrame:
         path, started = f"{root}/{layer}/{table}", datetime.now()
-        df = df.withColumn(stamp, F.lit(run_ts)) if stamp else df
-        overwrite_partition(conform(df.withColumn("ds", F.lit(part)), layer, table), path, part)
+        try:
+            df = job()
+            df = df.withColumn(stamp, F.lit(run_ts)) if stamp else df
+            overwrite_partition(conform(df.withColumn("ds", F.lit(part)), layer, table), path, part)
+        except Exception as e:
+            log.append((table, layer.upper(), started, datetime.now(), "FAILED", str(e)[:500]))
+            save_log(None)
+            raise
         out = spark.read.schema(schema_of(layer, table)).parquet(path).filter(F.col("ds") == part)
         written.append((layer, table, part, out))
         log.append((table, layer.upper(), started, datetime.now(), "SUCCESS", None))
         return out
 
-    assessment = publish("ads", "dq_assessment", ds, quality.dq_assessment(t, ds, variant), "assessment_date")
-    outliers = publish("ads", "data_outliers", ds, quality.outlier_detect(t["orders"]), "detected_date")
-    publish("dwd", "customer_segments", ds, etl.customer_segments(t["customers"], t["orders"], as_of, variant), "updated_date")
+    def save_log(counts: DataFrame | None) -> None:
+        jobs = spark.createDataFrame(
+            log, "job_name string, job_type string, start_time timestamp, end_time timestamp, status string, error_message string")
+        jobs = jobs.withColumn("records_processed", F.lit(0).cast("bigint")) if counts is None else jobs.join(counts.select(
+            F.col("table_name").alias("job_name"), F.col("row_count").alias("records_processed")), "job_name")
+        append_partition(conform(jobs.withColumn("ds", F.lit(ds)), "ads", "etl_job_status"), f"{root}/ads/etl_job_status", ds)
+
+    assessment = publish("ads", "dq_assessment", ds, lambda: quality.dq_assessment(t, ds, variant), "assessment_date")
+    outliers = publish("ads", "data_outliers", ds, lambda: quality.outlier_detect(t["orders"]), "detected_date")
+    publish("dwd", "customer_segments", ds, lambda: etl.customer_segments(t["customers"], t["orders"], as_of, variant), "updated_date")
     publish("dwd", "product_performance", ds,
-            etl.product_performance(t["products"], t["order_items"], t["orders"]), "analysis_date")
+            lambda: etl.product_performance(t["products"], t["order_items"], t["orders"]), "analysis_date")
     publish("ads", "web_analytics_summary", web_ds,
-            etl.web_analytics_summary(t["web_sessions"], t["page_views"], t["web_orders"], web_ds))
-    publish("dwd", "daily_sales_summary", ds, etl.daily_sales_summary(t["sales_orders"], t["order_items"], t["products"], ds))
-    publish("ads", "dq_daily_report", ds, quality.dq_daily_report(assessment, outliers, ds))
+            lambda: etl.web_analytics_summary(t["web_sessions"], t["page_views"], t["web_orders"], web_ds))
+    publish("dwd", "daily_sales_summary", ds, lambda: etl.daily_sales_summary(t["sales_orders"], t["order_items"], t["products"], ds))
+    publish("ads", "dq_daily_report", ds, lambda: quality.dq_daily_report(assessment, outliers, ds))
 
     counts = [df.agg(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(part).alias("ds"),
                      F.count("*").alias("row_count")) for layer, table, part, df in written]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
-    jobs = spark.createDataFrame(
-        log, "job_name string, job_type string, start_time timestamp, end_time timestamp, status string, error_message string"
-    ).join(out.select(F.col("table_name").alias("job_name"), F.col("row_count").alias("records_processed")), "job_name")
-    append_partition(conform(jobs.withColumn("ds", F.lit(ds)), "ads", "etl_job_status"), f"{root}/ads/etl_job_status", ds)
+    save_log(out)
     return out
 
 

@@ -64,6 +64,15 @@ def test_daily_run_twice_gives_the_same_partitions(spark, raw, folder):
     assert (web["bounce_rate"], web["conversion_rate"], web["top_page"], web["top_traffic_source"]) == (50.0, 100.0, "/basket", "mail")
 
 
+def test_failed_job_is_logged_and_stops_the_run(spark, raw, folder):
+    root = folder()
+    run = {**raw, "sales_orders": raw["orders"], "web_orders": raw["orders"], "products": raw["products"].drop("cost")}
+    with pytest.raises(Exception):
+        pipeline.daily_pipeline(spark, run, root, "20220502", "20220502", "2022-05-07", "v2")
+    log = tables.read_table(spark, f"{root}/ads/etl_job_status").orderBy("start_time").collect()
+    assert log[-1]["status"] == "FAILED" and "cost" in log[-1]["error_message"] and all(r["status"] == "SUCCESS" for r in log[:-1])
+
+
 def test_clean_and_profile(raw):
     flags = {r["customer_id"]: r["cleansing_flags"] for r in quality.customers_clean(raw["customers"]).collect()}
     assert flags == {"K1": "PHONE_FORMATTED", "K2": "EMAIL_INVALID|CITY_FORMATTED", "K3": "PHONE_FORMATTED"}
