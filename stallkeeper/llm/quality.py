@@ -91,7 +91,7 @@ def log_density_difference(model: dict, x: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, fit_rows: int = 20_000) -> dict:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        training_labels(labels, "quality", modulus, remainder, fit_rows), "doc_id")
+        F.broadcast(training_labels(labels, "quality", modulus, remainder, fit_rows)), "doc_id")  # at most fit_rows rows
     got = _stats_udf(rows.select("doc_id", "text", "y")).select("y", "stats").collect()  # bounded by fit_rows
     y = np.array([r.y for r in got], int)
     if min((y == 0).sum(), (y == 1).sum()) < 2:
