@@ -35,7 +35,7 @@ COMMON_TOKENS = 1_000_000
 COMMON_FROM = 16
 LINEAR_ROUNDS = 3
 SLICE = 1_000_000  # characters that a worker handles at once
-WORDS = 16  # parity bitmaps of 1024 bits
+WORDS = 6  # parity bitmaps of 384 bits: they travel with each row of the last join
 _BASE = np.uint64(0x9E6C63D0876A9A35)
 
 
