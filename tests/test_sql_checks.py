@@ -15,7 +15,9 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(ORACLES) == set(entry.queries())
+    """Only fitted, encoded and clustered results of the training-data operators have none."""
+    free = set(entry.llm_queries.queries()) | {"pipeline"} if entry.llm_queries else set()
+    assert set(ORACLES) <= set(entry.queries()) and set(entry.queries()) - free <= set(ORACLES)
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
