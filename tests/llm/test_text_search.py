@@ -156,3 +156,57 @@ def test_passages_of_empty_table_and_odd_rows(documents, odd):
     long = "x y z " * 3000
     got = chunk_dedup.repeated_passages(documents([(1, long), (1, long), (2, long)])).agg(F.collect_set("doc_id")).first()[0]
     assert sorted(got) == [1, 2]
+
+
+def shared_runs(docs, size):
+    """(doc_id, start, end) of all passages, by comparing the text of every run of words."""
+    strip = re.compile(r"[^0-9A-Za-z\x80-\U0010ffff]*(.*?)[^0-9A-Za-z\x80-\U0010ffff]*", re.S)
+    runs, held = {}, {}
+    for i, text in docs:
+        w = [(m.start(), m.end()) for m in re.finditer(r"[^\t\n\x0b\x0c\r ]+", text)]
+        inner = [strip.fullmatch(text[a:b]).span(1) if strip.fullmatch(text[a:b])[1] else (0, b - a) for a, b in w]
+        runs[i] = [(w[k][0] + inner[k][0], w[k + size - 1][0] + inner[k + size - 1][1]) for k in range(len(w) - size + 1)]
+        for a, b in runs[i]:
+            held.setdefault(text[a:b], set()).add(i)
+    out = []
+    for i, text in docs:
+        before = None
+        for k, (a, b) in enumerate(runs[i]):
+            if len(held[text[a:b]]) > 1:
+                out[-1:] = [(i, out[-1][1], b)] if before == k - 1 else [*out[-1:], (i, a, b)]
+                before = k
+    return sorted(out)
+
+
+def test_passages_of_exactly_51_words_match_brute_force(documents):
+    rng = random.Random(7)
+    letters = lambda n, size: " ".join("".join(rng.choices("abcdefghij", k=size)) for _ in range(n))
+    docs, want = [], set()
+    for k in range(120):
+        size = (1, 2, 3, 5)[k % 4]
+        passage = letters(51 if k % 3 else 50, size) if k % 5 else " ".join(["la", "lala"][k % 2] for _ in range(51 if k % 3 else 50))
+        if k % 5 == 0:
+            passage = f"k{k} {passage[:passage.rindex(' ')]}"
+        for copy in range(2):
+            docs.append((2 * k + copy, f"{letters(30, 7)} {'(' * copy}{passage}{'.)' * copy}\n{letters(20 + k, 6)}"))
+            want |= {2 * k + copy} if k % 3 else set()
+    line = letters(9, 4)
+    docs += [(1000, f"{letters(3, 5)}\n" + f"{line}\n" * 12), (1001, f"{line}\n" * 7 + letters(60, 5)), (1002, f"{line}\n" * 5 + letters(60, 5)),
+             (1003, "é " * 70), (1004, "é " * 60 + "ü"), (1005, "z" * 900 + " z" * 49), (1006, "z" * 900 + " z" * 49)]
+    got = chunk_dedup.repeated_passages(documents(docs)).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in got) == shared_runs(docs, 51)
+    assert {r["doc_id"] for r in got} == want | {1000, 1001, 1003, 1004}
+    texts = dict(docs)
+    assert all(r["n_words"] == len(texts[r["doc_id"]][r["start"]:r["end"]].split()) for r in got)
+
+
+def test_parts_of_a_passage_held_by_different_documents(documents):
+    rng = random.Random(9)
+    docs = [(k, words(rng, 120)) for k in range(6)]
+    w = docs[5][1].split()
+    docs += [(10, " ".join(w[:45])), (11, " ".join(w[40:90])), (12, " ".join(w[30:85])), (13, "x " + " ".join(w[30:85]) + " y")]
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in chunk_dedup.repeated_passages(documents(docs)).collect()) == shared_runs(docs, 51)
+    for size in (1, 2, 7):
+        few = [(k, t[:60]) for k, t in docs]
+        assert sorted((r["doc_id"], r["start"], r["end"]) for r in chunk_dedup.repeated_passages(
+            documents(few), min_words=size).collect()) == shared_runs(few, size)
