@@ -9,8 +9,11 @@ that the document has no id.  The closing byte is the record separator of Spark'
 writes the records as they are, to any store Spark can reach; readers go by the lengths only.  The
 mask ``rotate(crc, 15) + 0xa282ead8`` keeps checksums of data that holds checksums apart.
 
+The writer takes bundles of records, of 1 MB or one larger record, and starts a new file after 32 of them: a file holds
+at most 32 MB, if no single record is larger than a bundle.
+
 Null text is empty, so it has the end id alone; rows that repeat a doc_id are written one after the
-other; rows without doc_id come first.  Columns other than doc_id and text are not read.
+other, by the first 32 characters of their texts and then by a hash; rows without doc_id come first.  Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import stage, staging_path
+from ..session import shuffle_width, stage, staging_path
 from .common import slices
 
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<BqB")
 _CRC = struct.Struct("<I")
+RANGE_BYTES = 64 << 20  # of text in a range, on average
+BUNDLE_BYTES = 1 << 20  # records that the writer takes as one row
+FILE_BUNDLES = 32  # rows of a file
 SEGMENTS_KEPT = 600_000  # segments a worker remembers; then it starts afresh
 
 
@@ -134,8 +140,13 @@ def _encoder(path: str) -> SegmentEncoder:
     return _ENCODERS[path]
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
-    """Encode whole texts and write them in ascending doc_id order, one file for each range of ids."""
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, range_bytes: int = RANGE_BYTES,
+                      bundle_bytes: int = BUNDLE_BYTES) -> None:
+    """Encode whole texts and write them in ascending doc_id order, some files of bounded size for each range of rows.
+
+    Ranges are cut by (doc_id, start of the text, its hash, row), so the rows without doc_id or with one repeated doc_id fill as many
+    ranges as they need; there are as many as the bytes of the texts ask for.
+    """
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -143,17 +154,33 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work
         enc = _encoder(tokenizer)
         end = np.asarray([end_id], enc.dtype).tobytes()
+        held: list[bytes] = []
+        size = 0
+        bundle = lambda: pa.RecordBatch.from_arrays([pa.array([b"\n".join(held)], pa.binary())], ["record"])
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
-                out = [frame(i, np.frombuffer(ids + end, enc.dtype))
-                       for i, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranged = slim.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+                for i, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True):
+                    record = frame(i, np.frombuffer(ids + end, enc.dtype))
+                    if held and size + len(record) > bundle_bytes:
+                        yield bundle()
+                        held, size = [], 0
+                    held.append(record)
+                    size += len(record) + 1
+        if held:
+            yield bundle()
+
+    text = F.coalesce("text", F.lit(""))
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
+    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = ["doc_id", "lead", "mark", "row"]
+    keyed = slim.select("doc_id", "text", F.substring("text", 1, 32).alias("lead"), F.xxhash64("text").alias("mark"),
+                        F.monotonically_increasing_id().alias("row"))
+    ranges = max(shuffle_width(docs.sparkSession), -(-size // range_bytes))
+    ranged = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("doc_id", "text")
     framed = ranged.mapInArrow(encode, "record binary")
-    framed.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    framed.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", FILE_BUNDLES).text(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -185,18 +212,19 @@ def read_record(content: bytes, offset: int) -> tuple[int | None, list[int]]:
     return doc_id, ids.tolist()
 
 
-def token_file_index(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None) -> DataFrame:
+def token_file_index(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None, **sizes: int) -> DataFrame:
     """Write the files and their index; the index with the place of each document in the token stream.
 
-    Files are named in the order of their ids, so a total per file and a running total within it give ``start``.
+    Files are numbered in the order of their ids (part of the writer, file of the part), so a total per file and a running total within it give ``start``.
     """
     spark = docs.sparkSession
     path = path or staging_path(spark, "tokens")
-    write_token_files(docs, f"{path}/records", tokenizer, end_id)
+    write_token_files(docs, f"{path}/records", tokenizer, end_id, **sizes)
     read_token_files(spark, f"{path}/records").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
     totals = stage(index.groupBy("file").agg(F.sum("n_tokens").alias("total")), "totals")  # a row for each file
-    before = totals.select("file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("base"))
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("long")
+    before = totals.select("file", (F.sum("total").over(Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)[^-]*$"))) - F.col("total")).alias("base"))
     inside = Window.partitionBy("file").orderBy("offset")
     return index.withColumn("inner", F.sum("n_tokens").over(inside) - F.col("n_tokens")).join(before, "file").withColumn(
         "start", F.col("base") + F.col("inner")).drop("base", "inner")

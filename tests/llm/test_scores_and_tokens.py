@@ -180,6 +180,27 @@ def test_token_files_hold_the_stream(spark, documents, odd, folder):
         list(token_files.records(bytes(data)))
 
 
+def test_one_id_and_null_ids_fill_several_files_of_bounded_size(spark, documents, folder):
+    from tokenizers import Tokenizer
+
+    tok, rng = Tokenizer.from_file(BYTES), random.Random(4)
+    text = lambda: " ".join(rng.choices(["the", "corner", "of", "a", "house"], k=300))
+    same = text()
+    docs = [(i, same if k % 3 == 0 else text()) for i in (None, 7) for k in range(300)] + [(k, text()) for k in range(20)]
+    path = folder("tokens")
+    index = token_files.token_file_index(documents(docs), BYTES, path=path, range_bytes=100_000, bundle_bytes=1000).collect()
+    sizes = [r["length"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records").select("length").collect()]
+    assert max(sizes) <= 32 * 1001 and len(sizes) > 10
+    for i in (None, 7):
+        parts = {r["file"].split("-")[1] for r in index if r["doc_id"] == i}
+        assert len(parts) > 2
+    crc = lambda t: zlib.crc32(np.array(tok.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes())
+    assert sorted((repr(r["doc_id"]), r["ids_crc32"]) for r in index) == sorted((repr(i), crc(t)) for i, t in docs)
+    stream = sorted(index, key=lambda r: r["start"])
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in stream]
+    assert ids == sorted(ids) and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(stream, stream[1:]))
+
+
 def test_token_files_of_an_empty_table(documents):
     assert token_files.token_file_index(documents([]), BYTES).count() == 0
 
