@@ -9,7 +9,7 @@ with Spark's higher-order aggregate finds the segmentation:
 * ``fold="merges"``: the merges of a BPE model replayed on the same edges, best score first, ties to the left.  A BPE model's
   result is not its best path (they agree on 40 to 66 % of the words of the test texts), so this is the default.
 
-A character without a piece becomes its UTF-8 bytes.  Documents form blocks of bounded size by the partition that reads them.
+A character without a piece becomes its UTF-8 bytes.  Documents form blocks of bounded size by the partition that reads them and their number in it.
 Only the distinct words of a block are shuffled, never their occurrences: each word of the corpus is encoded once, and its ids meet
 the texts of its blocks for the assembly.  Words longer than ``longest`` characters, whose folds would be too large, and words without
 any edge go through the sentencepiece library there, with the same result.
@@ -156,10 +156,8 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
     """(doc_id, n_tokens, ids, round_trip) of whole texts."""
     p, spark = pieces(path), docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size, parts = slim.select(F.length("text").alias("n"), F.spark_partition_id().alias("p")).agg(F.sum("n"), F.max("p")).first()
-    split = max(1, -(-(size or 0) // (block_chars * ((parts or 0) + 1))))  # blocks of a partition
-    block = (F.spark_partition_id() * int(split) + F.pmod(F.xxhash64("text"), F.lit(split))).cast("long").alias("block")
-    seen = slim.select(block, "text").mapInArrow(_block_words(path, longest), "block long, word string").groupBy("block", "word").agg(
+    homed = _homed(slim, block_chars)
+    seen = homed.select("home", "text").mapInArrow(_block_words(path, longest), "block long, word string").groupBy("block", "word").agg(
         F.count("*").alias("n")).select("block", "word")
     words = stage(seen.select("word").distinct(), "words")
     # small partitions, so that the edges of one are grouped in memory
@@ -186,10 +184,24 @@ def encode(docs: DataFrame, path: str, fold: str = "merges", longest: int = 64,
         return pa.table({"doc_id": left.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()), "ids": pa.ListArray.from_arrays(
             offsets, pa.array(np.concatenate(out) if out else np.zeros(0, np.int32), pa.int32())), "round_trip": pa.array(good, pa.bool_())})
 
-    return slim.select(block.alias("home"), "doc_id", "text").groupBy("home").cogroup(known.groupBy("block")).applyInArrow(
+    return homed.groupBy("home").cogroup(known.groupBy("block")).applyInArrow(
         assemble, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
+def _homed(slim: DataFrame, block_chars: int) -> DataFrame:
+    """(home, doc_id, text): the block of each row.
+
+    Each reading partition is cut into as many blocks as its own characters ask for, and its rows are dealt to them by their numbers, so
+    copies of a text spread over all of them.  Should a row get another number when it is read again, the assembly encodes the words its
+    block lacks through the library.
+    """
+    here = slim.select("doc_id", "text", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("row"))
+    sizes = here.groupBy("p").agg(F.sum(F.length("text").cast("bigint")).alias("n")).collect()  # a row for each partition
+    split = slim.sparkSession.createDataFrame([(r.p, max(1, -(-r.n // block_chars))) for r in sizes], "p int, split long")
+    dealt = here.join(F.broadcast(split), "p", "left")
+    return dealt.select((F.col("p").cast("long") * (1 << 32) + F.pmod(F.xxhash64("row"), F.coalesce("split", F.lit(1)))).alias("home"), "doc_id", "text")
+
+
 def _block_words(path: str, longest: int):
     """Distinct words of the texts of a batch, for each block."""
 

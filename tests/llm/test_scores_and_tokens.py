@@ -136,6 +136,18 @@ def test_lattice_encoding_and_decoding(documents, odd):
     assert lattice.encode(documents([]), MODEL).count() == 0
 
 
+def test_copies_and_full_partitions_fill_several_blocks(spark, documents):
+    same = "the same words in all copies of a text " * 5
+    rows = documents([(None, same)] * 300 + [(k, f"short {k}") for k in range(110)]).coalesce(1).select("doc_id", "text")
+    blocks = {r["home"]: (r["n"], r["chars"]) for r in lattice._homed(rows, 5_000).groupBy("home").agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
+    assert sum(n for n, _ in blocks.values()) == 410 and max(c for _, c in blocks.values()) <= 15_000
+    assert len(blocks) > 8
+    own = sp()
+    got = lattice.encode(rows, MODEL, block_chars=5_000).collect()
+    assert len(got) == 410 and sum(r["ids"] == own.encode(same) for r in got) == 300 and all(r["round_trip"] for r in got)
+
+
 def test_viterbi_fold_is_the_best_path(spark):
     scores = {p: s for p, _, s in lattice.pieces(MODEL).rows}
     names = {i: p for p, i, _ in lattice.pieces(MODEL).rows}
