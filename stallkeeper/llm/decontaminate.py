@@ -6,8 +6,8 @@ offset-adjusted lists: the list of its rarest term proposes starts, the lists of
 term at the right distance, and what is left is compared with the text word by word.  ``proximity`` finds
 two terms within a distance from the same lists.
 
-Terms are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.  Index keys are lower-cased by all of
-Unicode's rules, which never parts equal words; the comparison at the end uses the words themselves.  The lists a
+Terms are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.  Index keys are lower-cased word by word by all of
+Unicode's rules, which never parts equal words (in a whole text a sigma would follow its neighbours); the comparison at the end uses the words themselves.  The lists a
 phrase set can ask for are known beforehand (a few rarest terms for each window), so only those are stored.
 
 Null and empty texts have no words; documents without words have 0 hits.  A benchmark row without text
@@ -48,13 +48,14 @@ def windows(benchmark: DataFrame, size: int = 13) -> DataFrame:
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(term, n): occurrences in all documents of the terms in ``vocabulary``."""
-    tokens = _own(docs).select(F.explode(raw_words(F.lower("text"))).alias("term"))
+    tokens = _own(docs).select(F.explode(raw_words("text")).alias("term")).select(F.lower("term").alias("term"))
     return tokens.join(small_side(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Staged postings (term, doc_id, version, pos), of all terms or of those in ``terms``."""
-    tokens = _own(docs).select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(raw_words(F.lower("text"))).alias("pos", "term"))
+    tokens = _own(docs).select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(raw_words("text")).alias("pos", "term")).withColumn(
+        "term", F.lower("term"))
     if terms is not None:
         tokens = tokens.join(small_side(terms), "term", "left_semi")
     return stage(tokens.select("term", "doc_id", "version", "pos"), "postings")

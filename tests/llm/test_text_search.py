@@ -52,6 +52,14 @@ def test_contamination_matches_brute_force(spark, documents, odd):
         assert rows(got) == sorted(contaminated(docs, items), key=repr)
 
 
+def test_capital_sigma_before_signs(spark, documents):
+    text = " ".join(f"w{k}" for k in range(11)) + " ΛΟΓΟΣ.ΑΛΛΟΣ:b"
+    items, docs = [(1, text)], [(1, f"x {text} y"), (2, text.replace(".", " ")), (3, text.lower())]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(documents(docs), bench).drop("version")
+    assert rows(got) == sorted(contaminated(docs, items), key=repr) and sum(r["n_hit"] > 0 for r in got.collect()) == 2
+
+
 def test_contamination_of_empty_tables(spark, documents, odd):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["n_hit"] for r in decontaminate.contamination(documents(odd), none).collect()} == {0}
