@@ -21,6 +21,12 @@ def training_labels(labels: DataFrame, label: str, modulus: int, remainder: int,
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """(doc_id, text, y): of the rows that repeat a doc_id the one whose text has the smallest hash."""
+    least = F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("least")
+    return rows.groupBy("doc_id", "y").agg(least).select("doc_id", "least.text", "y")
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 40) -> np.ndarray:
     """Weights (the constant first) of a ridge logistic curve by Newton's method."""
     a = np.column_stack([np.ones(len(x)), x])

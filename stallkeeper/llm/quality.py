@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .fitting import held_out, logistic, sigmoid, training_labels
+from .fitting import held_out, logistic, one_text_each, sigmoid, training_labels
 
 _OTHER, _LOWER, _UPPER, _DIGIT, _BLANK, _LINE, _STOP, _SIGN = range(8)
 _CLASS = np.full(256, _OTHER, np.uint8)
@@ -92,7 +92,7 @@ def log_density_difference(model: dict, x: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, fit_rows: int = 20_000) -> dict:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(training_labels(labels, "quality", modulus, remainder, fit_rows)), "doc_id")  # at most fit_rows rows
-    got = _stats_udf(rows.select("doc_id", "text", "y")).select("y", "stats").collect()  # bounded by fit_rows
+    got = _stats_udf(one_text_each(rows)).select("y", "stats").collect()  # bounded by fit_rows
     y = np.array([r.y for r in got], int)
     if min((y == 0).sum(), (y == 1).sum()) < 2:
         return {"share": (y.sum() + 0.5) / (len(y) + 1)}

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .fitting import held_out, logistic, sigmoid, training_labels
+from .fitting import held_out, logistic, one_text_each, sigmoid, training_labels
 
 # fixed values: look-alikes of Latin letters in Cyrillic and Greek, and digits and signs that stand for letters
 LOOK_ALIKES = dict(zip("авеѕіјкмнорстухԁɡӏαβεικνορτυχ", "abesijkmhopctyxdglabeiknoptux", strict=True))
@@ -142,8 +142,9 @@ def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], n_pos: int, n_n
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, fit_rows: int = 20_000) -> dict:
-    rows = stage(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(training_labels(labels, "toxic", modulus, remainder, fit_rows)), "doc_id").select("text", "y"), "toxic-rows")
+    joined = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(training_labels(labels, "toxic", modulus, remainder, fit_rows)), "doc_id")
+    rows = stage(one_text_each(joined).select("text", "y"), "toxic-rows")
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     lexicon = learn_lexicon(rows, n_pos, n_neg)

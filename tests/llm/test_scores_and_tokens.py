@@ -102,6 +102,19 @@ def test_held_out_labels_are_not_learned(spark, labelled):
     assert quality.training_labels(labels, "quality", 3, 1, 50).count() == 50
 
 
+def test_a_repeated_id_is_fitted_once(spark, documents, labelled, monkeypatch):
+    docs, labels = labelled
+    hot = next(i for i in range(900) if zlib.crc32(str(i).encode()) % 12 not in (1, 2, 4, 6, 7, 10))
+    many = docs.unionByName(documents([(hot, f"one of many texts {k}") for k in range(500)]))
+    seen, discriminant, logistic = [], quality.discriminant, toxicity.logistic
+    monkeypatch.setattr(quality, "discriminant", lambda x, y: (seen.append(len(y)), discriminant(x, y))[1])
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: (seen.append(len(y)), logistic(x, y))[1])
+    quality.fit(many, labels)
+    toxicity.fit(many, labels)
+    crc = [zlib.crc32(str(i).encode()) for i in range(900)]
+    assert seen == [sum(c % 3 != 1 for c in crc), sum(c % 4 != 2 for c in crc)]
+
+
 def test_accepted_keeps_columns(labelled, documents, odd):
     docs, labels = labelled
     model = quality.fit(docs, labels)
