@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, embedding_dedup, jaccard_join, lattice, quality, secret_scan, token_count, token_files, toxicity
+from . import chunk_dedup, decontaminate, embedding_dedup, jaccard_join, lattice, packing, pivot_clusters, prefix_trie, quality
+from . import secret_scan, token_count, token_files, toxicity
 from . import oracle
 from .common import table
 
@@ -59,6 +60,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
 
 
+def op11_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -71,6 +84,9 @@ def queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_pivot_clusters": op11_pivot_clusters,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }
 
 
