@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import shuffle_width, stage, staging_path
-from .common import slices
+from .byte_bpe import byte_bpe
 
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<BqB")
@@ -35,7 +35,6 @@ _CRC = struct.Struct("<I")
 RANGE_BYTES = 64 << 20  # of text in a range, on average
 BUNDLE_BYTES = 1 << 20  # records that the writer takes as one row
 FILE_BUNDLES = 32  # rows of a file
-SEGMENTS_KEPT = 600_000  # segments a worker remembers; then it starts afresh
 
 
 def masked_crc(data: bytes) -> int:
@@ -66,80 +65,6 @@ def records(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
         at += size
 
 
-class SegmentEncoder:
-    """Byte-level BPE of whole texts, segment by segment.
-
-    The pre-tokenizer never joins a character that is no white space with a blank behind it, so a text
-    may be cut there; each piece but the first starts with a blank.  Pieces not seen before
-    go through the tokenizers library together and are taken apart again where an id starts with a blank.
-    """
-
-    def __init__(self, path: str):
-        import re
-
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        top = max(vocab.values(), default=0)
-        self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.starts = np.zeros(top + 1, bool)
-        for token, i in vocab.items():
-            self.starts[i] = token.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
-        self.inner = re.compile(r"(?<=\S) ")
-        self.loose = re.compile(r"\s |\s$|^ ")
-
-    def _plain(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > SEGMENTS_KEPT:
-            self.known.clear()
-        clean = [p for p in pieces if p and " " not in p and not p[-1].isspace()]
-        for piece in set(pieces).difference(clean):
-            self.known[piece] = self._plain(" " + piece)
-        groups = [clean[i:i + 64] for i in range(0, len(clean), 64)]
-        found = self.tok.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
-        for group, enc in zip(groups, found, strict=True):
-            ids = np.asarray(enc.ids, self.dtype)
-            cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids))
-            if len(cuts) != len(group) + 1:  # an added token in the vocabulary took a blank away
-                for piece in group:
-                    self.known[piece] = self._plain(" " + piece)
-                continue
-            data, width = ids.tobytes(), self.dtype.itemsize
-            for piece, a, b in zip(group, (cuts[:-1] * width).tolist(), (cuts[1:] * width).tolist(), strict=True):
-                self.known[piece] = data[a:b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes of ``dtype``."""
-        parts = [t.split(" ") if not self.loose.search(t) else self.inner.split(t) for t in texts]
-        rest = [p[1:] for p in parts]
-        new = list(set().union(*rest).difference(self.known))
-        if len(new) > SEGMENTS_KEPT and len(texts) > 1:  # bounded memory for any batch
-            half = len(texts) // 2
-            return self.encode(texts[:half]) + self.encode(texts[half:])
-        if new:
-            before = len(self.known)
-            self._learn(new)
-            if len(self.known) < before + len(new):  # it started afresh
-                self._learn(list(set().union(*rest).difference(self.known)))
-        get = self.known.__getitem__
-        firsts = self.tok.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)
-        return [np.asarray(f.ids, self.dtype).tobytes() + b"".join(map(get, r))
-                for f, r in zip(firsts, rest, strict=True)]
-
-
-_ENCODERS: dict[str, SegmentEncoder] = {}
-
-
-def _encoder(path: str) -> SegmentEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = SegmentEncoder(path)
-    return _ENCODERS[path]
-
-
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, range_bytes: int = RANGE_BYTES,
                       bundle_bytes: int = BUNDLE_BYTES) -> None:
     """Encode whole texts and write them in ascending doc_id order, some files of bounded size for each range of rows.
@@ -149,24 +74,20 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work
-        enc = _encoder(tokenizer)
-        end = np.asarray([end_id], enc.dtype).tobytes()
+        bpe = byte_bpe(tokenizer)
+        end = np.asarray([end_id], bpe.dtype)
         held: list[bytes] = []
         size = 0
         bundle = lambda: pa.RecordBatch.from_arrays([pa.array([b"\n".join(held)], pa.binary())], ["record"])
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for i, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True):
-                    record = frame(i, np.frombuffer(ids + end, enc.dtype))
-                    if held and size + len(record) > bundle_bytes:
-                        yield bundle()
-                        held, size = [], 0
-                    held.append(record)
-                    size += len(record) + 1
+            for i, text in zip(doc_ids, texts, strict=True):
+                record = frame(i, np.append(bpe.ids(text).astype(bpe.dtype), end))
+                if held and size + len(record) > bundle_bytes:
+                    yield bundle()
+                    held, size = [], 0
+                held.append(record)
+                size += len(record) + 1
         if held:
             yield bundle()
 
