@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
 from ..functions.strings import EMAIL_PATTERN
 from ..operators.ordered import BLOCK_ROWS, number_rows, percent_rank, with_ranks
+from ..operators.quantiles import at_ranks
 from ..operators.rules import Rule, active_rules, assess, assess_table, score, standard_rules
 
 # Spellings folded into one country name.
@@ -127,30 +128,27 @@ def customers_clean(customers: DataFrame) -> DataFrame:
 
 # ---- outliers ------------------------------------------------------------
 
-def _quartiles(ranked: DataFrame, value: str, n: int) -> DataFrame:
-    """Exact interpolated quartiles, read off the global row numbers."""
-    picks = {}
-    for name, quarter in (("q1", 1), ("q3", 3)):
-        whole, rest = divmod(quarter * max(n - 1, 0), 4)
-        at = lambda k: F.max(F.when(F.col("rn") == k, F.col(value)))
-        low, high = at(whole + 1), at(min(whole + 2, max(n, 1)))
+def _stats(picked: DataFrame, value: str) -> DataFrame:
+    """One row: count, mean, deviation, exact interpolated quartiles and fences; the quartiles by range refinement."""
+    x, kind = F.col(value), picked.schema[value].dataType
+    r = picked.agg(F.count(x).alias("n"), ratio(F.sum(x), F.count(x)).alias("m"), F.stddev_samp(dbl(value)).alias("s"),
+                   F.min(x).alias("low"), F.max(x).alias("high")).first()
+    n, at, picks = r["n"], {}, {}
+    places = {name: divmod(quarter * max(n - 1, 0), 4) for name, quarter in (("q1", 1), ("q3", 3))}
+    if n:
+        ranks = sorted({min(k, n) for whole, _ in places.values() for k in (whole + 1, whole + 2)})
+        at = at_ranks(picked, value, ranks, r["low"], r["high"])
+    for name, (whole, rest) in places.items():
+        low, high = (F.lit(at.get(min(k, n))).cast(kind) for k in (whole + 1, whole + 2))
         picks[name] = (low + (high - low) * F.lit(rest) / F.lit(4)).cast("decimal(28,10)").alias(name)
-    x = F.col(value)
-    return ranked.agg(
-        F.count(x).alias("n"), F.sum(x).alias("s"), F.stddev_samp(dbl(x)).alias("sq"), *picks.values()
-    ).select(
-        "n", ratio(F.col("s"), F.col("n")).alias("mean_value"),
-        F.col("sq").alias("stddev_value"), "q1", "q3",
-        (F.col("q1") - (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")).alias("lower_fence"),
-        (F.col("q3") + (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")).alias("upper_fence"),
-    )
+    known = picked.sparkSession.range(1).select(
+        F.lit(n).cast("bigint").alias("n"), F.lit(r["m"]).cast("double").alias("mean_value"), F.lit(r["s"]).cast("double").alias("stddev_value"), *picks.values())
+    width = (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")
+    return known.select("*", (F.col("q1") - width).alias("lower_fence"), (F.col("q3") + width).alias("upper_fence"))
 
 
-def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount",
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
-    picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows)
-    stats = _quartiles(ordered.rows, value, ordered.n)
+def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount") -> DataFrame:
+    stats = _stats(orders.filter(F.col(value).isNotNull()).select(key, value), value)
     return stats.select(F.col("n").alias("total_records"), F.round("mean_value", 6).alias("mean_amount"),
                         F.round("stddev_value", 6).alias("stddev_amount"),
                         *[F.round(dbl(c), 6).alias(c) for c in ("q1", "q3", "lower_fence", "upper_fence")])
@@ -160,27 +158,28 @@ def outlier_detect(orders: DataFrame, key: str = "order_id", value: str = "total
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows far from the mean or outside the quartile fences.
 
-    One global order yields the quartiles and the percent rank; the statistics
-    are a single row, read as a scalar.
+    Only these rows are put in order: what lies below a low outlier and above a high one are outliers too, so their places
+    in the table follow from their places among the outliers and the number of rows between.
     """
     picked = orders.filter(F.col(value).isNotNull()).select(key, value)
-    ordered = number_rows(picked, [F.asc(value), F.asc(key)], block_rows)
-    stats = _quartiles(ordered.rows, value, ordered.n)
-    ranked = with_ranks(ordered, value).withColumn("st", stats.select(F.struct("*")).scalar())
-    x, lo, hi = F.col(value), F.col("st.lower_fence"), F.col("st.upper_fence")
-    z = F.try_divide(dbl(value) - F.col("st.mean_value"), F.col("st.stddev_value"))
+    st = _stats(picked, value).first()
+    known = lambda c, kind: F.lit(st[c]).cast(kind)
+    x, lo, hi = F.col(value), known("lower_fence", "decimal(38,10)"), known("upper_fence", "decimal(38,10)")
+    z = F.try_divide(dbl(value) - known("mean_value", "double"), known("stddev_value", "double"))
     outside = (x > hi) | (x < lo)
+    tails = picked.withColumn("z", z).filter((F.abs("z") > 2) | outside)
+    ordered = number_rows(tails, [F.asc(value), F.asc(key)], block_rows)
+    low = (x < lo) | F.coalesce(F.col("z") < -2, F.lit(False))
+    place = F.when(low, F.col("rank")).otherwise(F.col("rank") + F.lit(st["n"] - ordered.n))
     bound = lambda c: F.round(c, 2).cast("decimal(28,2)").cast("string")
-    return (
-        ranked.withColumn("z", z).filter((F.abs("z") > 2) | outside)
-        .select(F.lit(table).alias("table_name"), F.lit(value).alias("column_name"),
-                F.col(key).cast("string").alias("record_id"), x.cast("string").alias("value_found"),
-                label([(F.abs("z") > 3, "STATISTICAL"), (outside, "IQR_OUTLIER")], "BUSINESS_RULE").alias("outlier_type"),
-                F.round("z", 6).alias("z_score"), percent_rank(ordered.n, F.col("rank")).alias("percentile_rank"),
-                F.concat(F.lit("Expected range: "), bound(lo), F.lit(" - "), bound(hi)).alias("expected_range"),
-                F.lit("Z-Score and IQR Analysis").alias("detection_method"),
-                label([(F.abs("z") > 3, "HIGH"), (F.abs("z") > 2, "MEDIUM")], "LOW").alias("severity"))
-    )
+    return with_ranks(ordered, value).select(
+        F.lit(table).alias("table_name"), F.lit(value).alias("column_name"),
+        F.col(key).cast("string").alias("record_id"), x.cast("string").alias("value_found"),
+        label([(F.abs("z") > 3, "STATISTICAL"), (outside, "IQR_OUTLIER")], "BUSINESS_RULE").alias("outlier_type"),
+        F.round("z", 6).alias("z_score"), percent_rank(st["n"], place).alias("percentile_rank"),
+        F.concat(F.lit("Expected range: "), bound(lo), F.lit(" - "), bound(hi)).alias("expected_range"),
+        F.lit("Z-Score and IQR Analysis").alias("detection_method"),
+        label([(F.abs("z") > 3, "HIGH"), (F.abs("z") > 2, "MEDIUM")], "LOW").alias("severity"))
 
 
 # ---- reports over an assessment ------------------------------------------
