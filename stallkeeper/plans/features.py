@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
+from ..session import stage
 from .analytics import product_order_facts, profit, spend_by_customer
 
 
@@ -145,23 +146,41 @@ def copurchase_features(items: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
-def copurchase_pairs(items: DataFrame, min_together: int = 2) -> DataFrame:
+BASKET_BLOCK = 256  # lines of a basket that meet as one block
+
+
+def basket_blocks(lines: DataFrame, block: int = BASKET_BLOCK) -> DataFrame:
+    """(order_id, product_id, blocks, at): a basket of more than ``block`` lines is cut into blocks by a hash of the product."""
+    large = lines.groupBy("order_id").agg(F.count("*").alias("n")).filter(F.col("n") > block).select(
+        "order_id", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    return lines.join(large, "order_id", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
+        "at", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int"))
+
+
+def block_pairs(blocked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a basket join: each line once for every pair of blocks that it takes part in, so a basket of any size is dealt to many tasks."""
+    left = blocked.select("order_id", F.col("product_id").alias("a"), F.col("at").alias("i"), F.explode(F.sequence("at", F.col("blocks") - 1)).alias("j"))
+    right = blocked.select("order_id", F.col("product_id").alias("b"), F.col("at").alias("j"), F.explode(F.sequence(F.lit(0), "at")).alias("i"))
+    return left, right
+
+
+def copurchase_pairs(items: DataFrame, min_together: int = 2, block: int = BASKET_BLOCK) -> DataFrame:
     """All pairs of products bought together at least ``min_together`` times: support, confidence and lift.
 
     Products sold in fewer baskets cannot reach that and leave before the join.  Each unordered pair of a basket is
-    formed once and counted before the shuffle; the result has both directions.
+    formed once, by the pair of blocks its products lie in, and counted before the shuffle; the result has both directions.
     """
-    lines = items.select("order_id", "product_id").distinct()
+    lines = stage(items.select("order_id", "product_id").distinct(), "lines")
     baskets = lines.agg(F.countDistinct("order_id")).scalar()
     sold = lines.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min_together)
-    frequent = lines.join(sold.select("product_id"), "product_id", "left_semi")
-    a, b = (frequent.select("order_id", F.col("product_id").alias(x)) for x in ("a", "b"))
-    together = a.join(b, "order_id").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("together")).filter(
-        F.col("together") >= min_together)
-    both = together.select(F.col("a").alias("anchor_id"), F.col("b").alias("partner_id"), "together").unionByName(
-        together.select(F.col("b").alias("anchor_id"), F.col("a").alias("partner_id"), "together"))
+    a, b = block_pairs(stage(basket_blocks(lines.join(sold.select("product_id"), "product_id", "left_semi"), block), "blocks"))
+    together = a.join(b, ["order_id", "i", "j"]).filter("i < j or a < b").groupBy(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("together")).filter(F.col("together") >= min_together)
+    both = together.select("together", F.explode(F.array(F.struct(F.col("a").alias("anchor_id"), F.col("b").alias("partner_id")),
+                                                         F.struct(F.col("b").alias("anchor_id"), F.col("a").alias("partner_id")))).alias("p"))
     return (
-        both.join(sold.select(F.col("product_id").alias("partner_id"), F.col("n").alias("n_product")), "partner_id")
+        both.select("p.*", "together")
+        .join(sold.select(F.col("product_id").alias("partner_id"), F.col("n").alias("n_product")), "partner_id")
         .join(sold.select(F.col("product_id").alias("anchor_id"), F.col("n").alias("n_anchor")), "anchor_id")
         .withColumn("baskets", baskets)
         .select("anchor_id", "partner_id", "together", ratio(F.col("together"), F.col("baskets")).alias("support"),
