@@ -18,17 +18,17 @@ from stallkeeper.operators import rules  # noqa: E402
 from stallkeeper.plans import (  # noqa: E402
     analytics, basic, etl, features, pipeline, quality, text_jobs, validation,
 )
-from stallkeeper.session import CHECKPOINT_KEY, name_staging_root, spread, stage, staging_path  # noqa: E402
-from stallkeeper.sources import schemas, synth, tables  # noqa: E402
+from stallkeeper.operators.expectations import Expectation, as_rows, evaluate, failing_rows, from_rows  # noqa: E402
+from stallkeeper.session import has_staging_root, name_staging_root, shuffle_width, stage, staging_path  # noqa: E402
+from stallkeeper.sources import layers, schemas, snapshots, synth, tables  # noqa: E402
 from stallkeeper.sources.adapters import AS_OF, BIZDATE, WEB_DATE, Shop  # noqa: E402
-from stallkeeper.streaming import jobs as streams  # noqa: E402
+from stallkeeper.streaming import jobs as streams, sla  # noqa: E402
+from stallkeeper.streaming.merge_store import MergeStore  # noqa: E402
 
 try:  # the subpackage and the pipeline may be absent
     import corpus_pipeline
     from stallkeeper.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "stallkeeper.llm"):
-        raise
+except ImportError:
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def _with_folder(query: Query) -> Query:
     """Only a local session without a shared folder gets one of its own."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if spark.conf.get(CHECKPOINT_KEY, None) is None and spark.sparkContext.master.startswith("local["):
+        if not has_staging_root(spark) and spark.sparkContext.master.startswith("local["):
             name_staging_root(spark, tempfile.mkdtemp(prefix="stallkeeper-"))
         return query(spark, sf_dir)
     return run
@@ -180,26 +180,68 @@ def _typed_view(s: Shop) -> DataFrame:
         F.date_format(F.max("order_date_typed"), "yyyy-MM-dd").alias("last_day"))
 
 
-def _layered(s: Shop) -> DataFrame:
-    """All tables created empty, then the raw ones filled from the shop tables."""
+_MADE: dict[tuple[str, str, str], object] = {}
+
+
+def _once(s: Shop, name: str, make: Callable[[Shop], object]):
+    """What several queries of a session read and only the first one writes."""
+    key = (s.spark.sparkContext.applicationId, s.sf_dir, name)
+    if key not in _MADE:
+        _MADE[key] = make(s)
+    return _MADE[key]
+
+
+def _fill_layers(s: Shop) -> tuple[str, dict[str, int]]:
+    """All declared tables created empty, the raw ones then loaded into their ``ds`` folders; the folder and the rows counted by the writes."""
     root = staging_path(s.spark, "layers")
-    made = tables.create_layers(s.spark, root)
-    filled = {"customers": s.customers, "products": s.products, "orders": s.orders, "order_items": s.order_items,
-              "web_sessions": s.web_sessions, "page_views": s.page_views.withColumnRenamed("ts", "timestamp"),
-              "suppliers": s.suppliers}
+    layers.create_layers(s.spark, root)
+    months = s.orders.select("order_id", "ds")
+    day = F.date_format("ts", "yyyyMMdd")
+    events = s.base("events").withColumns({"session_id": F.concat_ws("-", F.col("user_id").cast("string"), F.to_date("ts").cast("string")),
+                                           "event_timestamp": F.col("ts").cast("string"), "ds": day})
+    raw = {"customers": s.customers, "products": s.products, "orders": s.orders, "order_items": s.order_items.join(months, "order_id", "left"),
+           "web_sessions": s.web_sessions, "page_views": s.page_views.withColumnRenamed("ts", "timestamp"), "user_events": events,
+           "suppliers": s.suppliers, "customers_snapshot": s.shop_customers_prev.withColumn("ds", F.lit(BIZDATE))}
+    return root, {t: layers.load_layer(df, root, "ods", t) for t, df in raw.items()}
+
+
+def _layer(s: Shop, table: str, layer: str = "ods") -> DataFrame:
+    return layers.read_layer(s.spark, _once(s, "layers", _fill_layers)[0], layer, table)
+
+
+def _layered(s: Shop) -> DataFrame:
+    """Every declared table as it is read back: its columns, rows and days."""
     parts = []
-    for layer, table, path in made:
-        if layer == "ods" and table in filled:
-            tables.overwrite_table(tables.bind_schema(filled[table], schemas.schema_of(layer, table)), path)
-        df = s.spark.read.schema(schemas.schema_of(layer, table)).parquet(path)
-        parts.append(df.agg(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
-                            F.lit(len(df.columns)).cast("bigint").alias("columns"), F.count("*").alias("rows")))
+    for layer, declared in schemas.LAYERS.items():
+        for table in declared:
+            df = _layer(s, table, layer)
+            days = F.countDistinct("ds") if layers.by_day(layer, table) else F.lit(0)
+            parts.append(df.agg(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(len(df.columns)).cast("bigint").alias("columns"),
+                                F.count("*").alias("rows"), days.cast("bigint").alias("days")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _orders_by_day(s: Shop) -> DataFrame:
+    """The partitioned raw orders with typed keys; ``ds`` comes from the folder names."""
+    key = lambda c: F.col(c).cast("bigint").alias(c)
+    return _layer(s, "orders").select(key("order_id"), key("customer_id"), "order_status", "total_amount", "ds")
+
+
+def _calendar(s: Shop) -> DataFrame:
+    """Run dates of the orders layer with their year and quarter, as a table of its own."""
+    def make(s: Shop) -> DataFrame:
+        d = F.to_date("ds", "yyyyMMdd")
+        return stage(_layer(s, "orders").select("ds").distinct().select("ds", F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month")), "calendar")
+    return _once(s, "calendar", make)
+
+
+def _run_dates(s: Shop) -> DataFrame:
+    return basic.orders_on_run_dates(_orders_by_day(s), _calendar(s).filter("year = 1996 and month = quarter * 3"))
+
+
 def _job_status(s: Shop) -> DataFrame:
     root = staging_path(s.spark, "status")
     summary = etl.daily_sales_summary(s.month_of_orders(BIZDATE), s.order_items, s.products, BIZDATE)
@@ -250,7 +292,8 @@ def _report(s: Shop) -> DataFrame:
 def _pipeline_tables(s: Shop) -> dict[str, DataFrame]:
     return {**_dirty(s), "sales_orders": s.orders, "order_items": s.order_items, "products": s.products.join(
         s.dirty_products.select("product_id", F.col("cost").alias("dirty_cost")), "product_id").drop("cost").withColumnRenamed(
-        "dirty_cost", "cost"), "web_sessions": s.web_sessions, "page_views": s.page_views, "web_orders": s.purchases}
+        "dirty_cost", "cost"), "web_sessions": s.on_day("shop_web_sessions", WEB_DATE), "page_views": s.on_day("shop_page_views", WEB_DATE),
+        "web_orders": s.on_day("shop_purchases", WEB_DATE), "customers_now": s.customers, "customers_prev": s.shop_customers_prev}
 
 
 def _daily_pipeline(s: Shop) -> DataFrame:
@@ -268,17 +311,96 @@ def _sla(s: Shop) -> DataFrame:
     return pipeline.job_sla_report(jobs)
 
 
+def _day(s: Shop) -> tuple[layers.RunStore, pipeline.DayRun, str]:
+    """One published run of the day that the queries below read; its expectations come from ``_expected``."""
+    def make(s: Shop):
+        root = staging_path(s.spark, "day")
+        run = pipeline.run_day(s.spark, _pipeline_tables(s), root, BIZDATE, WEB_DATE, AS_OF, expectations=[e for e in _expected(s) if e.table in _DAY_TABLES])
+        return layers.RunStore(s.spark, root), run, root
+    return _once(s, "day", make)
+
+
+_DAY_TABLES = ("daily_sales_summary", "customer_segments", "product_performance", "web_analytics_summary", "customer_changes",
+               "data_quality_metrics", "dq_rules", "dq_assessment", "data_profile")
+
+
+def _published(layer: str, table: str, *columns: str) -> Query:
+    """Values of a table of the day, read back after the switch."""
+    return _shop(lambda s: _day(s)[0].read(layer, table).select(*(columns or [c for c in schemas.schema_of(layer, table).fieldNames() if c != "ds"])))
+
+
+def _expected(s: Shop) -> list[Expectation]:
+    """What the caller of the run expects: seventeen sizes and twelve properties.  Sizes are those of the source files, which the tested tables don't give."""
+    base = lambda t, where="true": s.base(t).filter(where).count()
+    people, parts = base("customer"), base("part")
+    doubled = base("customer", "c_custkey % 101 = 0")
+    visits = s.base("events").select("user_id", F.to_date("ts")).distinct().count()
+    rows = lambda t, n, kind="rows": Expectation(f"{t} has its rows", t, kind, expected=n)
+    none = lambda t, what, c: Expectation(f"{t}: no {what}", t, "matching", c)
+    return from_rows(as_rows(s.spark, [
+        rows("customers", people), rows("products", parts), rows("orders", base("orders")), rows("order_items", base("lineitem")),
+        rows("web_sessions", visits), rows("page_views", base("events", "event_type in ('view', 'click')")), rows("user_events", base("events")),
+        rows("suppliers", base("supplier")), rows("daily_sales_summary", 1, "rows_at_least"), rows("customer_segments", people + doubled),
+        rows("product_performance", parts), rows("web_analytics_summary", 1), rows("customer_changes", 1, "rows_at_least"),
+        rows("data_quality_metrics", 3), rows("dq_rules", 6), rows("dq_assessment", 5), rows("data_profile", 3),
+        none("customers", "empty customer_id", "customer_id is null"), none("orders", "empty order_id", "order_id is null"),
+        none("order_items", "empty order_id", "order_id is null"), none("dirty_orders", "amount of zero or less", "total_amount <= 0"),
+        Expectation("dirty_orders.customer_id is known", "dirty_orders", "reference", "customer_id", parent="dirty_customers.customer_id"),
+        Expectation("order_items.order_id is in orders", "order_items", "reference", "order_id", parent="orders.order_id"),
+        none("daily_sales_summary", "day without revenue", "total_revenue <= 0"),
+        Expectation("customer_segments covers the customers", "customer_segments", "distinct", "customer_id", people),
+        Expectation("customer_segments has known values", "customer_segments", "in_set", "segment_value", 0,
+                    ("Champions", "Loyal Customers", "Potential Loyalists", "At Risk", "Cannot Lose", "Lost Customers")),
+        Expectation("product_performance covers the products", "product_performance", "distinct", "product_id", parts),
+        Expectation("dq_assessment has a PASS", "dq_assessment", "some", "status = 'PASS'", 1),
+        Expectation("most mails are filled", "dirty_customers", "share", "email is not null", 0.95),
+    ]))
+
+
 def _assertions(s: Shop) -> DataFrame:
-    return validation.table_assertions(
-        s.customers, s.dirty_orders, s.order_items, etl.daily_sales_summary(s.orders, s.order_items, s.products, BIZDATE),
-        etl.value_segments(s.customers, s.orders, AS_OF), etl.product_performance(s.products, s.order_items, s.orders),
-        _assessed(s), s.base("customer").count(), s.base("part").count())
+    """Layer tables and dirty inputs are scanned once each; of the day's tables only what their writes could not observe is looked up."""
+    given = [e for e in _expected(s) if e.table not in _DAY_TABLES]
+    under_test = {t: _layer(s, t) for t in schemas.ODS} | {"dirty_orders": s.dirty_orders, "dirty_customers": s.dirty_customers}
+    return evaluate(under_test, given).unionByName(_day(s)[1].checks)
+
+
+def _assertion_failures(s: Shop) -> DataFrame:
+    given = [e for e in _expected(s) if e.table.startswith("dirty_")]
+    return failing_rows({"dirty_orders": s.dirty_orders, "dirty_customers": s.dirty_customers}, given,
+                        {"dirty_orders": "order_id", "dirty_customers": "customer_id"})
+
+
+def _run_sla(s: Shop) -> DataFrame:
+    """The log that the day's run wrote; how long a job took differs from run to run and is left out."""
+    log = tables.read_table(s.spark, f"{_day(s)[2]}/ads/etl_job_status")
+    return pipeline.job_sla_report(log).drop("duration_seconds").join(log.select("job_name", "job_type", "records_processed"), "job_name")
+
+
+def _sla_stream(s: Shop) -> DataFrame:
+    """The events of the day's run as a stream, one end left out and another run's start four hours later, so that its limits pass."""
+    events = s.spark.read.schema(tables.EVENT).json(f"{_day(s)[2]}/ads/job_events")
+    unended = events.filter(~((F.col("job_name") == "data_profile") & (F.col("event") == "SUCCESS")))
+    later = events.groupBy().agg(F.max("at").alias("at")).select(
+        F.lit("next").alias("run"), F.lit("dq_rules").alias("job_name"), F.lit("START").alias("event"), (F.col("at") + F.expr("interval 4 hours")).alias("at"))
+    inbox, target, mark = (staging_path(s.spark, x) for x in ("inbox", "sla", "mark"))
+    unended.unionByName(later, allowMissingColumns=True).coalesce(1).write.parquet(inbox)
+    streams.finish(sla.sla_stream(streams.file_stream(s.spark, inbox, events.schema), target, mark))
+    return s.spark.read.schema(sla.ROW).parquet(target).select("job_name", "status", "attempts", "sla_level", "alert_message")
+
+
+def _tree_diff(s: Shop) -> DataFrame:
+    """Two stored snapshots compared down their hash trees."""
+    old, new = staging_path(s.spark, "snapshot"), staging_path(s.spark, "snapshot")
+    columns = [c.split()[0] for c in _PERSON.split(", ")]
+    snapshots.save_snapshot(s.shop_customers_prev.select(*columns), old)
+    snapshots.save_snapshot(s.customers.select(*columns), new)
+    return snapshots.snapshot_diff(s.spark, old, new, _PERSON)
 
 
 # ---- text ---------------------------------------------------------------------
 
 def _texts(s: Shop) -> DataFrame:
-    return spread(s.shop_text)
+    return s.shop_text.repartition(shuffle_width(s.spark), "doc_id")
 
 
 def _string_utils(s: Shop, variant: str) -> DataFrame:
@@ -398,13 +520,20 @@ def _odd_changes(s: Shop) -> DataFrame:
     return etl.snapshot_change_detect(_odd_customers(s), s.shop_customers_prev, "rows", null_safe=True)
 
 
+_PERSON = "customer_id bigint, first_name string, last_name string, email string"
+
+
 def _cdc_stream(s: Shop) -> DataFrame:
+    """Three change batches by the hash of their keys, merged into a store of 64 buckets."""
     inbox, base, mark = (staging_path(s.spark, x) for x in ("inbox", "base", "mark"))
-    _odd_changes(s).withColumn("change_timestamp", F.lit(AS_OF).cast("timestamp")).write.parquet(inbox)
-    s.shop_customers_prev.write.parquet(f"{base}/version=0")
-    stream = streams.file_stream(s.spark, inbox, s.spark.read.parquet(inbox).schema)
-    streams.finish(streams.cdc_stream(stream, base, mark))
-    return streams.latest_version(s.spark, base)
+    store = MergeStore(s.spark, base, _PERSON)
+    store.create(s.shop_customers_prev)
+    changes = stage(_odd_changes(s).withColumn("change_timestamp", F.lit(AS_OF).cast("timestamp")), "changes")
+    for part in range(3):
+        changes.filter(F.pmod(F.hash("customer_id"), F.lit(3)) == part).write.mode("append").parquet(inbox)
+        stream = streams.file_stream(s.spark, inbox, changes.schema)
+        streams.finish(streams.cdc_stream(stream, store, mark))
+    return store.read()
 
 
 def queries() -> dict[str, Query]:
@@ -420,7 +549,7 @@ def queries() -> dict[str, Query]:
         "filter_project_sort": S(lambda s: basic.customers_in_country(s.customers, "NATION_2")),
         "group_count": S(lambda s: basic.customers_per_country(s.customers)),
         "days_since_launch": S(lambda s: basic.days_since_launch(s.products, AS_OF)),
-        "partition_filter": S(lambda s: basic.orders_in_partition(s.month_of_orders(BIZDATE), BIZDATE)),
+        "partition_filter": S(lambda s: basic.orders_in_partition(_orders_by_day(s), BIZDATE)), "run_date_orders": S(_run_dates),
         "ci_substring_match": S(lambda s: basic.brands_like(s.products, "BRAND#1")),
         "date_parts": S(lambda s: basic.order_date_parts(s.orders_since(BIZDATE), BIZDATE)),
         "profit_margin": S(lambda s: basic.profit_margins(s.products)),
@@ -453,7 +582,7 @@ def queries() -> dict[str, Query]:
         "session_conversion": S(lambda s: etl.session_conversion(_web_day(s)[0], _web_day(s)[2], WEB_DATE)),
         "session_conversion_by_user": S(lambda s: etl.session_conversion(
             _web_day(s)[0], _web_day(s)[2], WEB_DATE, keys=("date", "user_id"))),
-        "snapshot_change_detect": S(_changes),
+        "snapshot_change_detect": S(_changes), "snapshot_tree_diff": S(_tree_diff),
         "snapshot_change_detect_v2": S(lambda s: etl.snapshot_change_detect(s.customers, s.shop_customers_prev, "v2")),
         "snapshot_change_null_safe": S(lambda s: etl.snapshot_change_detect(
             s.customers.withColumn("email", F.when(F.col("customer_id") % 37 != 0, F.col("email"))),
@@ -497,7 +626,7 @@ def queries() -> dict[str, Query]:
         "orphan_order_items_v2": S(lambda s: validation.orphan_order_items(s.loose_items, s.orders, s.products, "v2")),
         "order_total_verification": S(lambda s: validation.order_total_verification(s.orders, s.order_items)),
         "date_range_validation": S(lambda s: validation.date_range_validation(s.customers, s.orders)),
-        "partition_prune_count": S(lambda s: validation.partition_prune_count(s.month_of_orders(BIZDATE), BIZDATE)),
+        "partition_prune_count": S(lambda s: validation.partition_prune_count(_orders_by_day(s), BIZDATE)),
         "in_list_distinct": S(lambda s: validation.in_list_distinct(s.orders, [1, 2, 3])),
         "aggregation_consistency": S(lambda s: validation.aggregation_consistency(s.orders, s.order_items)),
         "distribution_pct": S(lambda s: validation.distribution_pct(s.customers)),
@@ -510,7 +639,7 @@ def queries() -> dict[str, Query]:
         "corpus_keywords": S(lambda s: text_jobs.corpus_keywords(_texts(s), "v1")),
         "corpus_keywords_v2": S(lambda s: text_jobs.corpus_keywords(_texts(s), "v2", 3)),
         "text_similarity_pairs": _similar("v1"), "text_similarity_pairs_v2": _similar("v2"),
-        "text_similarity_join": S(lambda s: text_jobs.text_similarity_join(spread(s.base("documents")))),
+        "text_similarity_join": S(lambda s: text_jobs.text_similarity_join(s.base("documents").repartition(shuffle_width(s.spark), "doc_id"))),
         "corpus_word_count": S(lambda s: text_jobs.corpus_word_count(_texts(s), "v1")),
         "corpus_word_count_v2": S(lambda s: text_jobs.corpus_word_count(_texts(s), "v2")),
         "corpus_language_profile": S(lambda s: text_jobs.corpus_language_profile(_texts(s), "v1")),
@@ -539,6 +668,17 @@ def queries() -> dict[str, Query]:
         "gen_all_consistent": S(_gen_check),
         # pipeline
         "daily_pipeline": S(_daily_pipeline), "job_sla_report": S(_sla), "table_assertions": S(_assertions),
+        "table_assertion_failures": S(_assertion_failures), "daily_run_sla": S(_run_sla), "daily_run_sla_stream": S(_sla_stream),
+        "daily_run_sales": _published("dwd", "daily_sales_summary"),
+        "daily_run_segments": _published("dwd", "customer_segments", "customer_id", "segment_value", "total_orders", "segment_score"),
+        "daily_run_performance": _published("dwd", "product_performance", "product_id", "total_quantity_sold", "orders_count", "performance_rank"),
+        "daily_run_web": _published("ads", "web_analytics_summary"), "daily_run_rules": _published("ads", "dq_rules", "rule_id", "table_name", "rule_type", "severity"),
+        "daily_run_metrics": _published("ads", "data_quality_metrics", "table_name", "metric_name", "metric_value", "threshold_value", "status"),
+        "daily_run_profile": _published("ads", "data_profile", "table_name", "column_name", "total_records", "null_count", "distinct_count", "avg_value"),
+        "daily_run_outliers": _published("ads", "data_outliers", "record_id", "outlier_type", "z_score", "percentile_rank", "severity"),
+        "daily_run_assessment": _published("ads", "dq_assessment", "rule_id", "failed_records", "failure_rate", "status", "ds"),
+        "daily_run_changes": _published("ads", "customer_changes", "customer_id", "change_type", "old_data", "new_data", "processed"),
+        "daily_run_report": _published("ads", "dq_daily_report", "report_date", "total_rules_executed", "critical_issues", "outliers_detected", "records_processed"),
         # features and increments
         "top10_customers": S(lambda s: features.top_customers(s.customers, s.orders)),
         "aov_by_country": S(lambda s: features.aov_by_country(s.customers, s.orders)),

@@ -140,7 +140,7 @@ def _changes() -> dict[str, str]:
                        f"case when ci is not null then {body.format('c')} end new_data, false as processed from j")
 
     return {
-        "snapshot_change_detect": pick(v1), "snapshot_change_detect_v2": pick(v2),
+        "snapshot_change_detect": pick(v1), "snapshot_tree_diff": pick(v1), "snapshot_change_detect_v2": pick(v2),
         "snapshot_self_diff": ctes("shop_customers") + """select customer_id, ''::varchar change_type, ''::varchar old_data, ''::varchar new_data,
             false as processed from shop_customers where customer_id<>customer_id""",
         "snapshot_change_null_safe": ctes("shop_customers") + """select customer_id, 'UPDATE' change_type from shop_customers where customer_id%37=0""",
@@ -240,15 +240,6 @@ def _features() -> dict[str, str]:
             select 'load_'||order_id job_name, if(f,'FAILED','SUCCESS') status, d duration_seconds,
             case when f then 'FAILED' when d>9000 then 'CRITICAL' when d>5400 then 'WARNING' else 'OK' end sla_level,
             case when f then 'ETL workflow has failed nodes' when d>5400 then 'ETL workflow is taking longer than expected' end alert_message from j""",
-        "table_assertions": ctes("dirty_customers", "dirty_products", "dirty_orders", "shop_orders", "shop_order_items") + f""", asm as ({assessment()}), a(label, expected, actual, least_ok) as (values
-            ('customers.customer_id not null',0,0,false), ('orders.order_id not null',0,0,false), ('order_items.order_id not null',0,0,false),
-            ('orders.total_amount positive',0,(select count(*) from dirty_orders where total_amount<=0),false),
-            ('order_items.order_id in orders',0,(select count(*) from shop_order_items where order_id not in (select order_id from dirty_orders)),false),
-            ('daily_sales_summary revenue positive',0,(select count(*) from (select sum(total_amount) s from shop_orders where ds='{BIZDATE}' and order_status='completed' group by order_date) where s<=0),false),
-            ('customer_segments covers customers',(select count(*) from customer),(select count(distinct c_custkey) from customer),false),
-            ('product_performance covers products',(select count(*) from part),(select count(distinct p_partkey) from part),false),
-            ('dq_assessment has a PASS',1,(select count(*) from asm where status='PASS'),true))
-            select label, expected::bigint expected, actual::bigint actual, if(case when least_ok then actual>=expected else actual=expected end,'PASS','FAIL') status from a""",
     }
 
 

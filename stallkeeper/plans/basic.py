@@ -37,6 +37,16 @@ def orders_in_partition(orders: DataFrame, ds: str) -> DataFrame:
     )
 
 
+def orders_on_run_dates(orders: DataFrame, run_dates: DataFrame) -> DataFrame:
+    """Orders and revenue of the chosen run dates.
+
+    ``orders`` lies in ``ds`` folders: the dates found in the small, filtered table prune them while the query runs, so
+    only the folders of those dates are listed and read.
+    """
+    return orders.join(run_dates.select("ds"), "ds").groupBy("ds").agg(
+        F.count(F.lit(1)).alias("orders"), F.countDistinct("customer_id").alias("customers"), F.round(F.sum(F.col("total_amount").cast("decimal(20,6)")), 2).cast("double").alias("revenue"))
+
+
 def brands_like(products: DataFrame, text: str) -> DataFrame:
     return products.filter(F.lower("brand").contains(text.lower())).select(
         "product_id", "product_name", "brand", F.upper("brand").alias("brand_upper")

@@ -178,33 +178,3 @@ def health_summary(customers: DataFrame, products: DataFrame, orders: DataFrame)
     share = lambda x: F.round(F.try_divide(dbl(x) * 100.0, dbl(n)), 2)
     return parts.select("*", share(k).alias("key_completeness_pct"), share(q).alias("data_quality_pct"),
                         grade.otherwise("NEEDS_IMPROVEMENT").alias("overall_health")).orderBy("table_name")
-
-
-def assertion(label: str, df: DataFrame, actual: Column, expected: int, at_least: bool = False) -> DataFrame:
-    """One (label, expected, actual, status) row from an aggregate of ``df``."""
-    got = df.agg(actual.cast("bigint").alias("actual"))
-    ok = F.col("actual") >= expected if at_least else F.col("actual") == expected
-    return got.select(F.lit(label).alias("label"), F.lit(expected).cast("bigint").alias("expected"), "actual",
-                      F.when(ok, "PASS").otherwise("FAIL").alias("status"))
-
-
-def table_assertions(customers: DataFrame, orders: DataFrame, items: DataFrame, sales: DataFrame,
-                     segments: DataFrame, performance: DataFrame, assessment: DataFrame,
-                     expected_customers: int, expected_products: int) -> DataFrame:
-    n = F.count("*")
-    homeless = items.select("order_id").join(orders.select("order_id").distinct(), "order_id", "left_anti")
-    checks = [
-        assertion("customers.customer_id not null", customers, count_if(F.col("customer_id").isNull()), 0),
-        assertion("orders.order_id not null", orders, count_if(F.col("order_id").isNull()), 0),
-        assertion("order_items.order_id not null", items, count_if(F.col("order_id").isNull()), 0),
-        assertion("orders.total_amount positive", orders, count_if(F.col("total_amount") <= 0), 0),
-        assertion("order_items.order_id in orders", homeless, n, 0),
-        assertion("daily_sales_summary revenue positive", sales, count_if(F.col("total_revenue") <= 0), 0),
-        assertion("customer_segments covers customers", segments, F.countDistinct("customer_id"), expected_customers),
-        assertion("product_performance covers products", performance, F.countDistinct("product_id"), expected_products),
-        assertion("dq_assessment has a PASS", assessment, count_if(F.col("status") == "PASS"), 1, at_least=True),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out

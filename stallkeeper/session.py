@@ -33,6 +33,10 @@ def name_staging_root(spark: SparkSession, folder: str) -> None:
     _named[spark.sparkContext.applicationId] = folder
 
 
+def has_staging_root(spark: SparkSession) -> bool:
+    return bool(spark.conf.get(CHECKPOINT_KEY, None) or _named.get(spark.sparkContext.applicationId))
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the session names it."""
     root = spark.conf.get(CHECKPOINT_KEY, None) or _named.get(spark.sparkContext.applicationId)
@@ -57,15 +61,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work on a scan with few partitions.
-
-    For plain scans only.  Large tables have more partitions than cores and
-    are returned as they are, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

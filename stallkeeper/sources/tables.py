@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import stage
-from .schemas import LAYERS, schema_of
+from .schemas import schema_of
 
 CORRUPT = "_corrupt_record"
 
@@ -96,19 +99,6 @@ def _try_date(c: Column) -> Column:
 
 # ---- table writers -------------------------------------------------------
 
-def create_layers(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
-    """Create every declared table empty under ``root``; returns (layer, table, path)."""
-    made = []
-    for layer, tables in LAYERS.items():
-        for table in tables:
-            schema = schema_of(layer, table)
-            path = f"{root}/{layer}/{table}"
-            # an empty partitioned write leaves no file to read, so keep it flat
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-            made.append((layer, table, path))
-    return made
-
-
 def conform(df: DataFrame, layer: str, table: str, optional: tuple[str, ...] = ()) -> DataFrame:
     """Declared columns of a published table; one that is absent must be named in ``optional``."""
     schema = schema_of(layer, table)
@@ -159,12 +149,33 @@ def retention_report(df: DataFrame, days: int, as_of: str) -> DataFrame:
 def apply_retention(spark: SparkSession, path: str, days: int, as_of: str) -> list[str]:
     """Drop the expired ``ds`` folders of the table at ``path``; kept partitions are neither read nor written."""
     cutoff = (date.fromisoformat(as_of) - timedelta(days=days)).strftime("%Y%m%d")
+    return [name[3:] for name in drop_folders(spark, path, lambda name: name.startswith("ds=") and name[3:] < cutoff)]
+
+
+def drop_folders(spark: SparkSession, path: str, expired: Callable[[str], bool]) -> list[str]:
+    """Remove the folders directly under ``path`` whose names are ``expired``; those of the writers (``_...``) stay."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    expired = [p for p in (x.getPath() for x in files.listStatus(folder)) if p.getName().startswith("ds=") and p.getName()[3:] < cutoff]
-    for p in expired:
+    found = [x.getPath() for x in files.listStatus(folder) if x.isDirectory()]
+    gone = [p for p in found if not p.getName().startswith("_") and expired(p.getName())]
+    for p in gone:
         files.delete(p, True)
-    return sorted(p.getName()[3:] for p in expired)
+    return sorted(p.getName() for p in gone)
+
+
+EVENT = "run string, job_name string, event string, at timestamp, records bigint, error string"
+
+
+def append_event(spark: SparkSession, folder: str, event: dict) -> None:
+    """Add one event as a small JSON file, which appears as a whole; ``EVENT`` is the schema of the folder."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    name = uuid.uuid4().hex
+    hidden, shown = jvm.Path(f"{folder}/_{name}"), jvm.Path(f"{folder}/{name}.json")
+    files = shown.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(hidden)
+    out.write(bytearray(json.dumps(event | {"at": event["at"].isoformat(timespec="microseconds")}).encode()))
+    out.close()
+    files.rename(hidden, shown)
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..plans.features import cdc_apply, dashboard_feed
+from ..plans.features import dashboard_feed
+from .merge_store import MergeStore
 
 NOW = {"availableNow": True}
 
@@ -57,33 +58,17 @@ def dashboard_table(spark: SparkSession, target: str) -> DataFrame:
     return rows.groupBy("window_start").agg(newest).select("window_start", "r.*")
 
 
-def cdc_stream(changes: DataFrame, base: str, checkpoint: str, order_by: str = "change_timestamp",
+def cdc_stream(changes: DataFrame, store: MergeStore, checkpoint: str, order_by: str = "change_timestamp",
                trigger: dict = NOW) -> StreamingQuery:
-    """Merge change batches into a versioned base table.
-
-    Batch ``b`` reads version ``b`` and writes version ``b+1``, so a replay
-    recomputes the same version.  Start from ``<base>/version=0``.
-    """
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        current = batch.sparkSession.read.parquet(f"{base}/version={batch_id}")
-        cdc_apply(current, batch, order_by).write.mode("overwrite").parquet(f"{base}/version={batch_id + 1}")
-
+    """Merge change batches into a keyed store: batch ``b`` turns version ``b`` into ``b+1`` and rewrites the buckets of its keys only."""
     return (
-        changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(**trigger).start()
+        changes.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: store.merge(batch, batch_id, order_by) and None).trigger(**trigger).start()
     )
 
 
-def latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """Newest version of the base table; only its folder is read."""
-    versions = spark.read.parquet(base)
-    newest = versions.select(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
-
-
 def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-__all__ = ["file_stream", "incremental_load", "dashboard_stream", "dashboard_table", "cdc_stream", "latest_version",
-           "finish"]
+__all__ = ["file_stream", "incremental_load", "dashboard_stream", "dashboard_table", "cdc_stream", "finish"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stallkeeper.operators import rules
 from stallkeeper.plans import analytics, etl, pipeline, quality
 from stallkeeper.sources import tables
+from stallkeeper.sources.layers import RunStore
 from tests.test_tables import write_lines
 
 ORDERS = ["order_id,customer_id,order_date,order_status,total_amount,shipping_cost,payment_method,shipping_address",
@@ -49,28 +50,37 @@ def test_sales_and_segments_from_text_dates(raw):
     assert perf["A1"] == (pytest.approx(45.0), 1) and perf["A2"] == (pytest.approx(-0.25), 1)
 
 
-def test_daily_run_twice_gives_the_same_partitions(spark, raw, folder):
+def test_daily_run_twice_gives_the_same_tables(spark, raw, folder):
     root = folder()
     run = {**raw, "sales_orders": raw["orders"], "web_orders": raw["orders"]}
     counts = [sorted(map(tuple, pipeline.daily_pipeline(spark, run, root, "20220502", "20220502", "2022-05-07", "v2").collect())) for _ in range(2)]
     assert counts[0] == counts[1]
-    assert {r[1]: r[3] for r in counts[0]} == {"dq_assessment": 6, "data_outliers": 0, "customer_segments": 3, "product_performance": 2,
-                                               "web_analytics_summary": 1, "daily_sales_summary": 2, "dq_daily_report": 1}
-    report = tables.read_table(spark, f"{root}/ads/dq_daily_report").first()
-    assert report["critical_issues"] == 2 and report["top_issue_table"] == "orders"
+    assert {r[1]: r[3] for r in counts[0]} == {
+        "dq_assessment": 6, "data_outliers": 0, "customer_segments": 3, "product_performance": 2, "web_analytics_summary": 1, "daily_sales_summary": 2,
+        "dq_daily_report": 1, "dq_rules": 6, "data_quality_metrics": 3, "data_profile": 3}
+    store = RunStore(spark, root)
+    report = store.read("ads", "dq_daily_report").collect()
+    assert len(report) == 1 and report[0]["critical_issues"] == 2 and report[0]["top_issue_table"] == "orders"
     log = tables.read_table(spark, f"{root}/ads/etl_job_status")
-    assert log.count() == 14 and log.filter("status <> 'SUCCESS' or end_time < start_time").count() == 0
-    web = tables.read_table(spark, f"{root}/ads/web_analytics_summary").first()
+    assert log.count() == 20 and log.filter("status <> 'SUCCESS' or end_time < start_time").count() == 0
+    assert {r["job_name"]: r["records_processed"] for r in log.collect()} == {r[1]: r[3] for r in counts[0]}
+    web = store.read("ads", "web_analytics_summary").first()
     assert (web["bounce_rate"], web["conversion_rate"], web["top_page"], web["top_traffic_source"]) == (50.0, 100.0, "/basket", "mail")
 
 
-def test_failed_job_is_logged_and_stops_the_run(spark, raw, folder):
+def test_failed_run_is_logged_and_leaves_the_old_day(spark, raw, folder):
     root = folder()
-    run = {**raw, "sales_orders": raw["orders"], "web_orders": raw["orders"], "products": raw["products"].drop("cost")}
-    with pytest.raises(Exception):
-        pipeline.daily_pipeline(spark, run, root, "20220502", "20220502", "2022-05-07", "v2")
-    log = tables.read_table(spark, f"{root}/ads/etl_job_status").orderBy("start_time").collect()
-    assert log[-1]["status"] == "FAILED" and "cost" in log[-1]["error_message"] and all(r["status"] == "SUCCESS" for r in log[:-1])
+    run = {**raw, "sales_orders": raw["orders"], "web_orders": raw["orders"]}
+    pipeline.daily_pipeline(spark, run, root, "20220502", "20220502", "2022-05-07", "v2")
+    store = RunStore(spark, root)
+    before = {t: sorted(map(str, store.read("dwd", t).collect())) for t in ("customer_segments", "product_performance", "daily_sales_summary")}
+    broken = {**run, "customers": raw["customers"].limit(1), "page_views": raw["page_views"].drop("page_url")}
+    with pytest.raises(Exception, match="page_url"):
+        pipeline.daily_pipeline(spark, broken, root, "20220502", "20220502", "2022-05-07", "v2")
+    assert before == {t: sorted(map(str, store.read("dwd", t).collect())) for t in before}
+    log = tables.read_table(spark, f"{root}/ads/etl_job_status").filter("status = 'FAILED'").collect()
+    assert [r["job_name"] for r in log] == ["web_analytics_summary"] * 2  # one retry
+    assert all("page_url" in r["error_message"] and r["records_processed"] == 0 for r in log)
 
 
 def test_clean_and_profile(raw):

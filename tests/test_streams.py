@@ -5,6 +5,7 @@ from datetime import datetime
 
 from stallkeeper.plans.features import newer_than_target
 from stallkeeper.streaming import jobs
+from stallkeeper.streaming.merge_store import MergeStore
 
 
 def test_incremental_load_takes_only_new_files(spark, folder):
@@ -36,16 +37,57 @@ def test_dashboard_updates_windows_across_batches(spark, folder):
     assert got == {1: (3, 2, 3.5), 2: (1, 0, 0.0)}
 
 
+PERSON = "customer_id long, first_name string, last_name string, email string"
+CHANGE = "customer_id long, change_type string, new_data string, change_timestamp timestamp"
+
+
+def payload(name):
+    return '{"first_name":"%s","last_name":"L","email":"e"}' % name
+
+
 def test_change_stream_merges_in_order(spark, folder):
-    inbox, base, mark = folder(), folder(), folder()
-    payload = lambda n: '{"first_name":"%s","last_name":"L","email":"e"}' % n
-    spark.createDataFrame([(1, "A", "L", "e"), (2, "B", "L", "e")], "customer_id long, first_name string, last_name string, email string").write.parquet(f"{base}/version=0")
-    schema = "customer_id long, change_type string, new_data string, change_timestamp timestamp"
+    inbox, mark = folder(), folder()
+    store = MergeStore(spark, folder(), PERSON, buckets=8)
+    store.create(spark.createDataFrame([(1, "A", "L", "e"), (2, "B", "L", "e")], PERSON))
     day = lambda d: datetime(2024, 1, d)
     batches = [[(1, "UPDATE", payload("A2"), day(2)), (1, "UPDATE", payload("A1"), day(1)), (3, "INSERT", payload("C"), day(1))],
                [(2, "DELETE", None, day(3)), (3, "UPDATE", payload("C2"), day(3))]]
     for rows in batches:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
-        jobs.finish(jobs.cdc_stream(jobs.file_stream(spark, inbox, spark.read.parquet(inbox).schema), base, mark))
-    got = {r["customer_id"]: r["first_name"] for r in jobs.latest_version(spark, base).collect()}
-    assert got == {1: "A2", 3: "C2"}
+        spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(inbox)
+        jobs.finish(jobs.cdc_stream(jobs.file_stream(spark, inbox, spark.read.parquet(inbox).schema), store, mark))
+    assert {r["customer_id"]: r["first_name"] for r in store.read().collect()} == {1: "A2", 3: "C2"}
+    assert store.version() == 2
+
+
+def test_a_batch_rewrites_its_buckets_only(spark, folder):
+    store = MergeStore(spark, folder(), PERSON, buckets=16)
+    base = spark.range(500).selectExpr("id customer_id", "concat('n', id) first_name", "'L' last_name", "'e' email")
+    store.create(base)
+    keys = [3, 77, 499, 9001]
+    changes = spark.createDataFrame([(k, "UPDATE", payload("new"), datetime(2024, 1, 1)) for k in keys], CHANGE)
+    touched = store.merge(changes, 0, "change_timestamp")
+    assert 0 < len(touched) <= len(keys)
+    held = store.held(1)
+    assert sorted(b for b, at in held.items() if at == 1) == touched and len(held) == 16
+    once = sorted(map(tuple, store.read().collect()))
+    assert len(once) == 501 and sum(r[1] == "new" for r in once) == 4
+    store.merge(changes, 0, "change_timestamp")  # a replay
+    assert sorted(map(tuple, store.read().collect())) == once
+    assert sorted(map(tuple, store.read(0).collect())) == sorted(map(tuple, base.collect()))  # the version before is kept
+    plan = store.read(only=[touched[0]])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_old_versions_are_removed(spark, folder):
+    root = folder()
+    store = MergeStore(spark, root, PERSON, buckets=4, keep=2)
+    store.create(spark.range(40).selectExpr("id customer_id", "'a' first_name", "'L' last_name", "'e' email"))
+    for v in range(4):
+        every = spark.createDataFrame([(k, "UPDATE", payload(f"v{v}"), datetime(2024, 1, 1)) for k in range(40)], CHANGE)
+        store.merge(every, v, "change_timestamp")
+    left = {r["version"] for r in spark.read.parquet(f"{root}/data").select("version").distinct().collect()}
+    assert left == {3, 4} and {r["first_name"] for r in store.read().collect()} == {"v3"}
+    store.merge(spark.createDataFrame([], CHANGE), 4, "change_timestamp")
+    assert store.version() == 5 and store.read().count() == 40
+    store.merge(spark.createDataFrame([(k, "DELETE", None, datetime(2024, 1, 2)) for k in range(40)], CHANGE), 5, "change_timestamp")
+    assert store.read().count() == 0

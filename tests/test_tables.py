@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallkeeper.sources import tables
-from stallkeeper.sources.schemas import LAYERS, schema_of
 
 
 def write_lines(spark, path, lines):
@@ -85,14 +84,6 @@ def test_typed_view_counts_rejects(spark):
     assert rows[0]["a_typed"] == datetime(2024, 1, 15, 10, 30)
 
 
-def test_layers_are_created_empty(spark, folder):
-    made = tables.create_layers(spark, folder())
-    assert len(made) == sum(map(len, LAYERS.values()))
-    for layer, table, path in made[:3]:
-        df = spark.read.schema(schema_of(layer, table)).parquet(path)
-        assert df.count() == 0 and df.columns == schema_of(layer, table).names
-
-
 def test_job_log_appends(spark, folder):
     path, data = folder(), spark.createDataFrame([(1, "20240115"), (2, "20240115")], "id long, ds string")
     t = datetime(2024, 1, 15, 2)
