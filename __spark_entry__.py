@@ -110,8 +110,7 @@ def _static_partition(s: Shop) -> DataFrame:
 
 def _literal_rows(s: Shop) -> DataFrame:
     seed = s.spark.createDataFrame(
-        [("CUST001", "John", "Smith", "UNITED STATES"), ("CUST002", "Sarah", "Johnson", "UNITED STATES"),
-         ("CUST003", "Michael", "Brown", "UNITED KINGDOM")],
+        [("N-1", "Ada", "Lund", "UNITED STATES"), ("N-2", "Bo", "Reyes", "UNITED STATES"), ("N-3", "Cleo", "Marsh", "UNITED KINGDOM")],
         "customer_id string, first_name string, last_name string, country string")
     people = s.customers.select(F.col("customer_id").cast("string").alias("customer_id"), "first_name", "last_name", "country")
     return basic.customers_per_country(people.unionByName(seed))

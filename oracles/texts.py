@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from stallkeeper.functions import text as T
 from stallkeeper.sources.adapters import ctes
 
+# Word lists of the published text functions, stated here so that the checks don't take them from the code under test.
+POSITIVE_V1 = """good great excellent amazing wonderful fantastic awesome perfect love like best brilliant
+outstanding superb magnificent terrific marvelous happy pleased satisfied delighted thrilled""".split()
+NEGATIVE_V1 = """bad terrible awful horrible disgusting hate dislike worst pathetic useless disappointing
+frustrated angry sad upset annoyed furious poor inferior defective broken failed""".split()
+NEGATION_V1 = "not no never nothing nowhere nobody none neither nor cannot cant wont dont".split()
+POSITIVE_V2 = "good great excellent amazing love best wonderful fantastic happy satisfied perfect".split()
+NEGATIVE_V2 = "bad terrible awful hate worst horrible disappointed poor broken useless waste".split()
+KEYWORD_STOP_V1 = """the a an and or but in on at to for of with by from up about into through during before after
+above below is are was were be been being have has had do does did will would could should may might must can this
+that these those i you he she it we they""".split()
+KEYWORD_STOP_V2 = """the a an and or but in on at to for of with by is are was were be been have has had do does did
+will would could should may might this that these those it its i you he she we they not no from as into""".split()
+COUNT_STOP_V1 = "the a an and or but in on at to for of with by from is are was were".split()
+COUNT_STOP_V2 = "the a an and or but in on at to for of with by is are was".split()
+
 _TEXT = ctes("shop_text")
+# Word, address and number patterns.
 _TOK = r"regexp_extract_all(lower({0}),'[\p{{L}}\p{{N}}_]+')"
 _MAIL = r"'[A-Za-z0-9+_.-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'"
 _PHONE = r"'(\+?\d{1,3})?[-.\s]?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}'"
@@ -22,11 +38,11 @@ def _tok(c: str = "text") -> str:
 _WORDS = _TEXT + f""", tk as (select doc_id, lang, {_tok()} ws from shop_text),
     wd as (select doc_id, unnest(ws) w, unnest(range(len(ws))) i from tk) """
 _LABEL = "case when coalesce(sc,0)>0 then 'positive' when coalesce(sc,0)<0 then 'negative' else 'neutral' end"
-_S1 = _WORDS + f""", sg as (select doc_id, case when w in {_list(T.NEGATION_V1)} then 0 else
-      (case when w in {_list(T.POSITIVE_V1)} then 1 when w in {_list(T.NEGATIVE_V1)} then -1 else 0 end)
-      * case when lag(w) over (partition by doc_id order by i) in {_list(T.NEGATION_V1)} then -1 else 1 end end s from wd),
+_S1 = _WORDS + f""", sg as (select doc_id, case when w in {_list(NEGATION_V1)} then 0 else
+      (case when w in {_list(POSITIVE_V1)} then 1 when w in {_list(NEGATIVE_V1)} then -1 else 0 end)
+      * case when lag(w) over (partition by doc_id order by i) in {_list(NEGATION_V1)} then -1 else 1 end end s from wd),
     ss as (select doc_id, sum(s) sc from sg group by 1), lb as (select d.doc_id, d.lang, {_LABEL} sentiment from shop_text d left join ss using (doc_id)) """
-_S2 = _WORDS + f""", ss as (select doc_id, count(distinct w) filter (where w in {_list(T.POSITIVE_V2)}) - count(distinct w) filter (where w in {_list(T.NEGATIVE_V2)}) sc
+_S2 = _WORDS + f""", ss as (select doc_id, count(distinct w) filter (where w in {_list(POSITIVE_V2)}) - count(distinct w) filter (where w in {_list(NEGATIVE_V2)}) sc
     from wd group by 1), lb as (select d.doc_id, d.lang, {_LABEL} sentiment from shop_text d left join ss using (doc_id)) """
 
 
@@ -36,8 +52,8 @@ def _keywords(keep: str, score: str, k: int) -> str:
     ks as (select doc_id, string_agg(w, ',' order by k) keywords from rk where k<={k} group by 1) """
 
 
-_K1 = _keywords(f"length(w)>2 and w not in {_list(T.KEYWORD_STOP_V1)}", "f*length(w)", 5)
-_K2 = _keywords(f"regexp_full_match(w,'[a-z]{{3,}}') and w not in {_list(T.KEYWORD_STOP_V2)}", "f", 3)
+_K1 = _keywords(f"length(w)>2 and w not in {_list(KEYWORD_STOP_V1)}", "f*length(w)", 5)
+_K2 = _keywords(f"regexp_full_match(w,'[a-z]{{3,}}') and w not in {_list(KEYWORD_STOP_V2)}", "f", 3)
 
 
 def _count(c: str, cls: str) -> str:
@@ -187,8 +203,8 @@ def _utils(v2: bool) -> str:
         {(_mask2 if v2 else _mask1)('email')} masked, {(_slug2 if v2 else _slug1)('country')} slug, {num if v2 else f"nullif({num},'')"} digits from dirty_customers"""
 
 
-_WC1 = f"len(list_filter({_tok()}, lambda w: length(w)>2 and w not in {_list(T.COUNT_STOP_V1)}))"
-_WC2 = f"len(list_filter({_tok()}, lambda w: w not in {_list(T.COUNT_STOP_V2)}))"
+_WC1 = f"len(list_filter({_tok()}, lambda w: length(w)>2 and w not in {_list(COUNT_STOP_V1)}))"
+_WC2 = f"len(list_filter({_tok()}, lambda w: w not in {_list(COUNT_STOP_V2)}))"
 _PAIRS = ", pr as (select doc_id doc_a, doc_id+1 doc_b from documents) "
 
 

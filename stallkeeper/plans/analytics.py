@@ -139,11 +139,14 @@ def customer_segment_rules(customers: DataFrame, orders: DataFrame, as_of: str)
 
 
 def monthly_trends(orders: DataFrame, from_ds: str) -> DataFrame:
+    """Orders are folded to one row per month and customer first; an order has one customer, so only its id needs a distinct count."""
+    x = F.col("total_amount")
+    folded = orders.filter(F.col("ds") >= from_ds).groupBy(F.date_format("order_date", "yyyy-MM").alias("order_month"), "customer_id").agg(
+        F.countDistinct("order_id").alias("n"), F.sum(x).alias("spent"), F.count(x).alias("priced"))
     return (
-        orders.filter(F.col("ds") >= from_ds)
-        .groupBy(F.date_format("order_date", "yyyy-MM").alias("order_month"))
-        .agg(F.countDistinct("order_id").alias("total_orders"), F.countDistinct("customer_id").alias("unique_customers"),
-             total("total_amount").alias("total_revenue"), mean("total_amount").alias("avg_order_value"))
+        folded.groupBy("order_month")
+        .agg(F.sum("n").alias("total_orders"), F.count("customer_id").alias("unique_customers"), total("spent").alias("total_revenue"),
+             ratio(F.sum("spent"), F.sum("priced")).alias("avg_order_value"))
         .withColumn("revenue_per_customer", ratio(F.col("total_revenue"), F.col("unique_customers")))
         .orderBy("order_month")
     )
