@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
 from ..functions.strings import EMAIL_PATTERN
 from ..operators.ordered import BLOCK_ROWS, number_rows, percent_rank, with_ranks
-from ..operators.quantiles import at_ranks
+from ..operators.quantiles import at_ranks, cells
 from ..operators.rules import Rule, active_rules, assess, assess_table, score, standard_rules
+from ..session import stage
 
 # Spellings folded into one country name.
 COUNTRY_ALIASES = {
@@ -131,20 +132,19 @@ def customers_clean(customers: DataFrame) -> DataFrame:
 def _stats(picked: DataFrame, value: str) -> DataFrame:
     """One row: count, mean, deviation, exact interpolated quartiles and fences; the quartiles by range refinement."""
     x, kind = F.col(value), picked.schema[value].dataType
-    r = picked.agg(F.count(x).alias("n"), ratio(F.sum(x), F.count(x)).alias("m"), F.stddev_samp(dbl(value)).alias("s"),
-                   F.min(x).alias("low"), F.max(x).alias("high")).first()
-    n, at, picks = r["n"], {}, {}
+    known = cells(picked, value, ratio(F.sum(x), F.count(x)).alias("m"), F.stddev_samp(dbl(value)).alias("s"))
+    n, at, picks = known.n, {}, {}
+    mean_, deviation = (known.totals["m"], known.totals["s"]) if n else (None, None)
     places = {name: divmod(quarter * max(n - 1, 0), 4) for name, quarter in (("q1", 1), ("q3", 3))}
     if n:
-        ranks = sorted({min(k, n) for whole, _ in places.values() for k in (whole + 1, whole + 2)})
-        at = at_ranks(picked, value, ranks, r["low"], r["high"])
+        at = at_ranks(picked, value, sorted({min(k, n) for whole, _ in places.values() for k in (whole + 1, whole + 2)}), known)
     for name, (whole, rest) in places.items():
         low, high = (F.lit(at.get(min(k, n))).cast(kind) for k in (whole + 1, whole + 2))
         picks[name] = (low + (high - low) * F.lit(rest) / F.lit(4)).cast("decimal(28,10)").alias(name)
-    known = picked.sparkSession.range(1).select(
-        F.lit(n).cast("bigint").alias("n"), F.lit(r["m"]).cast("double").alias("mean_value"), F.lit(r["s"]).cast("double").alias("stddev_value"), *picks.values())
+    row = picked.sparkSession.range(1).select(
+        F.lit(n).cast("bigint").alias("n"), F.lit(mean_).cast("double").alias("mean_value"), F.lit(deviation).cast("double").alias("stddev_value"), *picks.values())
     width = (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")
-    return known.select("*", (F.col("q1") - width).alias("lower_fence"), (F.col("q3") + width).alias("upper_fence"))
+    return row.select("*", (F.col("q1") - width).alias("lower_fence"), (F.col("q3") + width).alias("upper_fence"))
 
 
 def outlier_stats(orders: DataFrame, key: str = "order_id", value: str = "total_amount") -> DataFrame:
@@ -167,7 +167,7 @@ def outlier_detect(orders: DataFrame, key: str = "order_id", value: str = "total
     x, lo, hi = F.col(value), known("lower_fence", "decimal(38,10)"), known("upper_fence", "decimal(38,10)")
     z = F.try_divide(dbl(value) - known("mean_value", "double"), known("stddev_value", "double"))
     outside = (x > hi) | (x < lo)
-    tails = picked.withColumn("z", z).filter((F.abs("z") > 2) | outside)
+    tails = stage(picked.withColumn("z", z).filter((F.abs("z") > 2) | outside), "tails")
     ordered = number_rows(tails, [F.asc(value), F.asc(key)], block_rows)
     low = (x < lo) | F.coalesce(F.col("z") < -2, F.lit(False))
     place = F.when(low, F.col("rank")).otherwise(F.col("rank") + F.lit(st["n"] - ordered.n))
