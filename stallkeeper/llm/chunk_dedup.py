@@ -100,10 +100,18 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}  # as many as a text of 2 MB needs; longer ones are not kept
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    known = _POWERS.get(base)
+    if known is None or len(known) <= n:
+        known = np.full(max(n + 1, 1 << 16), base, np.uint64)
+        known[0] = 1
+        known = np.cumprod(known, dtype=np.uint64)
+        if len(known) <= 1 << 21:
+            _POWERS[base] = known
+    return known[:n + 1]
 
 
 class _Sums:
@@ -136,8 +144,8 @@ def _inner(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def grams(raw: bytes, size: int, average: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(key, hash, start, end) of each run of ``size`` words, places in bytes; None if the text is shorter.
+def grams(raw: bytes, size: int, average: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """(key, hash, start, end) of each run of ``size`` words, places in bytes; None if the text is shorter.  Without ``average`` keys are hashes.
 
     A run reaches from the first letter or digit of its first word to the last one of its last word.  Its key is the least digest of
     two neighbouring chunks between boundaries that the run itself decides, or its hash if it holds no three such boundaries: runs
@@ -165,6 +173,8 @@ def grams(raw: bytes, size: int, average: int) -> tuple[np.ndarray, np.ndarray,
         whole = part(starts[:-1], starts[1:])  # words with the space behind them
         middle = _Sums(whole)(np.arange(1, n + 1), np.arange(size - 1, n + size - 1))
         marks = _mixed(part(left[:n], starts[1:n + 1]) + np.uint64(3) * _mixed(middle) + np.uint64(5) * part(starts[size - 1:], b))
+    if average is None:
+        return marks, marks, a, b
     keys = marks.copy()
     cuts = natural_ends(data, average)
     if len(cuts) > 2:
@@ -203,7 +213,7 @@ def _gram_keys(docs: DataFrame, size: int, average: int) -> DataFrame:
 _KEY_TYPES = (np.int64, np.int64, np.int64, np.int32, np.int32)
 
 
-def _gram_rows(docs: DataFrame, size: int, average: int) -> DataFrame:
+def _gram_rows(docs: DataFrame, size: int) -> DataFrame:
     """(hash, doc_id, version, number, start, length) of the runs of words in the ranges ``spans`` of their numbers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +224,7 @@ def _gram_rows(docs: DataFrame, size: int, average: int) -> DataFrame:
                 parts = []
                 for k in range(x, y):
                     raw = texts[k].encode()
-                    _, marks, a, b = grams(raw, size, average)
+                    _, marks, a, b = grams(raw, size, None)
                     edges = np.zeros(len(marks) + 1, np.int32)
                     own = spans[k].values
                     np.add.at(edges, own.field("first").to_numpy(), 1)
@@ -242,7 +252,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 51, average: int = 24) -
         F.collect_set(F.struct("first", "last")).alias("spans")).withColumnsRenamed({"doc_id": "_d", "version": "_v"}), "asked")
     texts = slim.join(small_side(asked), (F.col("doc_id") == F.col("_d")) & (F.col("version") == F.col("_v"))).select(
         "doc_id", "version", "text", "spans")
-    rows = _gram_rows(texts, min_words, average)
+    rows = _gram_rows(texts, min_words)
     # a run is repeated if the smallest and the largest of its documents differ
     held = rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select(
         "hash", F.col("low").alias("first"))
