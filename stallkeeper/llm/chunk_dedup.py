@@ -144,8 +144,8 @@ def _inner(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def grams(raw: bytes, size: int, average: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(key, hash, start, end) of each run of ``size`` words, places in bytes; None if the text is shorter.  Without ``average`` keys are hashes.
+def grams(raw: bytes, size: int, average: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(key, start, end) of each run of ``size`` words, places in bytes; None if the text is shorter.  Without ``average`` keys are hashes.
 
     A run reaches from the first letter or digit of its first word to the last one of its last word.  Its key is the least digest of
     two neighbouring chunks between boundaries that the run itself decides, or its hash if it holds no three such boundaries: runs
@@ -166,19 +166,20 @@ def grams(raw: bytes, size: int, average: int | None) -> tuple[np.ndarray, np.nd
     right = np.where((right > starts) & (right <= ends), right, ends)
     slice_hash = _Sums(_BYTES[data])
     a, b = left[:n], right[size - 1:]
-    if size == 1:
-        marks = _mixed(slice_hash(a, b) + (b - a).astype(np.uint64))
-    else:
-        part = lambda x, y: _mixed(slice_hash(x, y) + (y - x).astype(np.uint64))
-        whole = part(starts[:-1], starts[1:])  # words with the space behind them
-        middle = _Sums(whole)(np.arange(1, n + 1), np.arange(size - 1, n + size - 1))
-        marks = _mixed(part(left[:n], starts[1:n + 1]) + np.uint64(3) * _mixed(middle) + np.uint64(5) * part(starts[size - 1:], b))
+    part = lambda x, y: _mixed(slice_hash(x, y) + (y - x).astype(np.uint64))
+
+    def hashes(at: np.ndarray) -> np.ndarray:
+        if size == 1:
+            return part(a[at], b[at])
+        words = _Sums(part(starts[:-1], starts[1:]))  # with the space behind them
+        return _mixed(part(left[at], starts[at + 1]) + np.uint64(3) * _mixed(words(at + 1, at + size - 1)) + np.uint64(5) * part(starts[at + size - 1], b[at]))
+
     if average is None:
-        return marks, marks, a, b
-    keys = marks.copy()
+        return hashes(np.arange(n)), a, b
+    keys, count = np.zeros(n, np.uint64), np.zeros(n, np.int64)
     cuts = natural_ends(data, average)
     if len(cuts) > 2:
-        pairs = _mixed(slice_hash(cuts[:-2], cuts[2:]) + (cuts[2:] - cuts[:-2]).astype(np.uint64))
+        pairs = part(cuts[:-2], cuts[2:])
         first = np.searchsorted(cuts, a + WINDOW_BITS)  # a boundary is decided by the 16 bytes before it
         count = np.searchsorted(cuts, b, "right") - first - 2
         least, width = pairs, 1
@@ -186,7 +187,9 @@ def grams(raw: bytes, size: int, average: int | None) -> tuple[np.ndarray, np.nd
             own = np.flatnonzero((count >= width) & (count < 2 * width))
             keys[own] = np.minimum(least[first[own]], least[first[own] + count[own] - width])
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
-    return keys, marks, a, b
+    if len(alone := np.flatnonzero(count < 1)):
+        keys[alone] = hashes(alone)
+    return keys, a, b
 
 
 def _gram_keys(docs: DataFrame, size: int, average: int) -> DataFrame:
@@ -224,7 +227,7 @@ def _gram_rows(docs: DataFrame, size: int) -> DataFrame:
                 parts = []
                 for k in range(x, y):
                     raw = texts[k].encode()
-                    _, marks, a, b = grams(raw, size, None)
+                    marks, a, b = grams(raw, size, None)
                     edges = np.zeros(len(marks) + 1, np.int32)
                     own = spans[k].values
                     np.add.at(edges, own.field("first").to_numpy(), 1)
