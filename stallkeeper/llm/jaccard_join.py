@@ -1,8 +1,9 @@
 """N-gram Jaccard join with filters under several global token orders.
 
 Documents become sets of 64-bit shingle hashes; equal sets are one.  Under any order of all tokens, two sets with a
-similarity of t or more share a token among the first ``size - ceil(t * size) + 1`` of each.  The first order puts
-tokens that are common in the corpus last and the others by hash; its prefixes are joined, with the bounds on size and
+similarity of t or more share a token among the first ``size - ceil(t * size) + 1`` of each.  Tokens are counted over one
+document of each set, and the first order puts rare ones, by hash, before common ones, by count: a text with many
+shingles of its own has a prefix of nothing else and meets no one.  The prefixes are joined, with the bounds on size and
 position in the join condition.  A second order, by another hash, is a filter: pairs without a common token in
 those prefixes as well are dropped.  What is left is verified on the whole sets.
 
@@ -83,41 +84,47 @@ class Orders:
 
 
 def _digests(docs: DataFrame, k: int) -> DataFrame:
-    """One staged table of two kinds of rows: a set's size and key for each document, and tokens met twice or more in a batch."""
+    """(doc_id, size, key), staged: the size of each document's set and the key that names it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
+            for a, b in slices(pc.utf8_length(texts).to_pylist(), SLICE):
+                sets = list(shingle_sets(texts.slice(a, b - a).to_pylist(), k))
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
+                                                  pa.array([_key(s) for s in sets], pa.int64())], ["doc_id", "size", "key"])
+
+    return stage(docs.mapInArrow(run, "doc_id long, size long, key long"), "digests")
+
+
+def _counts(docs: DataFrame, k: int) -> DataFrame:
+    """(token, n): in how many sets of ``docs`` each token stands; counted in each task before the shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
             for start, end in slices(pc.utf8_length(texts).to_pylist(), 6_000_000):
-                seen, kept, sizes, keys = set(), [], [], []
                 part = texts.slice(start, end - start).to_pylist()
-                for a, b in slices(part, SLICE):
-                    for s in shingle_sets(part[a:b], k):
-                        d = _key(s)
-                        if d is not None and d not in seen:
-                            seen.add(d)
-                            kept.append(s)
-                        sizes.append(len(s))
-                        keys.append(d)
-                tokens = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
-                del kept
+                tokens = np.concatenate([np.zeros(0, np.uint64)] + [t for a, b in slices(part, SLICE) for t in shingle_sets(part[a:b], k)])
                 tokens.sort()
                 first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
                 n = np.diff(np.append(first, len(tokens)))
-                tokens, n = tokens[first[n > 1]].view(np.int64), n[n > 1].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(start, end - start), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                    pa.nulls(end - start, pa.int64()), pa.nulls(end - start, pa.int64())], ["doc_id", "size", "key", "token", "n"])
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(tokens), pa.int64()) for _ in range(3)), pa.array(tokens), pa.array(n)],
-                                                 ["doc_id", "size", "key", "token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[first].view(np.int64)), pa.array(n.astype(np.int32))], ["token", "n"])
 
-    return stage(docs.mapInArrow(run, "doc_id long, size long, key long, token long, n long"), "digests")
+    return docs.select("text").mapInArrow(run, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _common(tokens: DataFrame) -> Orders:
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    least = max(COMMON_FROM, -(-total // COMMON_TOKENS))
-    rows = tokens.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)  # at most total / least rows
+def _common(docs: DataFrame, k: int) -> Orders:
+    """The tokens of COMMON_FROM sets or more with their numbers of sets; if there are more than COMMON_TOKENS, the most common of them."""
+    counted = stage(_counts(docs, k).filter(F.col("n") >= COMMON_FROM), "common")
+    step = F.floor(F.log2("n") * 4).cast("int")
+    least, room = None, COMMON_TOKENS
+    for r in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):  # a row for each step of the counts
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    rows = counted.filter(step >= F.lit(least)) if least is not None else counted.limit(0)
     got = rows.toArrow()
     at = np.argsort(key := got.column("token").to_numpy().view(np.uint64))
     return Orders(key[at], got.column("n").to_numpy()[at])
@@ -203,10 +210,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``."""
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    first = _digests(slim, k)
-    rows = first.filter("size is not null").select("doc_id", "size", "key")
-    orders = _common(first.filter("token is not null").select("token", "n"))
+    rows = _digests(slim, k)
     reps = stage(rows.filter("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "reps")
+    orders = _common(slim.join(small_side(reps), "doc_id", "left_semi"), k)
 
     # prefixes of one document of each set; tokens that one set alone has can link nothing
     prefixes = stage(_prefixes(slim.filter("doc_id is not null"), k, percent, orders).filter("size > 0"), "prefixes")

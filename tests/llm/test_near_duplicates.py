@@ -82,6 +82,26 @@ def test_many_edited_copies_make_no_quadratic_rows(documents, monkeypatch):
     assert got == smallest(linked(sets), sets) and max(seen) < 150 * 149 / 8
 
 
+def test_texts_with_many_own_shingles_meet_no_one(documents, monkeypatch):
+    """One text of the family in each partition: only counts over all of them tell common shingles from own ones."""
+    rng = random.Random(8)
+    base = [f"v{k}" for k in range(200)]
+    docs = []
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(0, 200, 6), 14):
+            w[at] = f"own{rng.random()}"
+        docs.append((i, " ".join(w)))
+    docs += [(100, docs[0][1] + " tail"), (101, docs[1][1])]
+    sets = {i: shingles(t) for i, t in docs}
+    seen = []
+    plain = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: (seen.append(pairs.count()), plain(pairs, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(documents(docs).repartition(30)).collect()}
+    assert got == smallest(linked(sets), sets) and got[100] == 0 and got[101] == 1
+    assert max(seen) <= 2
+
+
 def test_odd_rows_and_empty_table(documents, odd):
     got = jaccard_join.jaccard_classes(documents(odd)).collect()
     assert len(got) == len(odd)
