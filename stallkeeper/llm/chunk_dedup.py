@@ -10,7 +10,7 @@ compared, each by a 64-bit hash of its bytes, so a passage has its true ends and
 
 Words are parted by white space.  At the two ends of a passage signs round a word do not count: '(word' and 'word.' end like 'word'.
 Null and empty texts have no words.  Rows without doc_id take no part.  Rows that repeat a doc_id are
-one document as to where a run stands; equal rows give equal passages once, different texts under one id each theirs.  Columns other than
+one document as to where a run stands; of several first documents of a run the smallest id counts; texts are taken whole, however long; equal rows give equal passages once, different texts under one id each theirs.  Columns other than
 doc_id and text are not read.
 """
 

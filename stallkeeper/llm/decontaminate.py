@@ -12,7 +12,8 @@ phrase set can ask for are known beforehand (a few rarest terms for each window)
 
 Null and empty texts have no words; documents without words have 0 hits.  A benchmark row without text
 has no windows, one without item_id hits words but is not listed.  Rows that repeat a doc_id have a row each, judged by
-their own text.  Columns other than doc_id, text, item_id are not read.  DataFrame functions only.
+their own text.  Texts are read whole, however long.  Terms of equal rarity are taken in the order of their bytes, which changes no result.
+Columns other than doc_id, text, item_id are not read.  DataFrame functions only.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ original vectors in double precision.  Equal vectors are one before the search.
 Vectors that are null, empty, zero or hold null or non-finite components, and rows without label or vec_id, link with
 nothing.  Vectors of another length than the fitted ones get a fixed random rotation; lengths are never mixed.
 Rows repeating a vec_id with equal vectors are one; with different vectors each row is searched and counts as a vector.
-Columns other than vec_id, embedding and label are not read.
+Equal similarities need no rule; the smallest vec_id names a class.  Columns other than vec_id, embedding and label are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ token group are all compared, so no link is lost, while a group of near copies,
 bitmaps in that join's condition bound the difference of two sets from below, so copies edited too much make none either.
 
 Null and empty texts, and texts without words, have no shingles and link with nothing; rows without doc_id have no
-links either.  Rows repeating a doc_id are compared by their texts and keep a row each.  Columns other than
+links either.  Whole texts are cut into shingles, however long.  Tokens of equal number follow each other by hash, and the smallest doc_id names
+a class, so ties change nothing.  Rows repeating a doc_id are compared by their texts and keep a row each.  Columns other than
 doc_id and text are not read.
 """
 

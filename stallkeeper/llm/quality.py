@@ -7,7 +7,7 @@ from Mahalanobis distances by the cached Cholesky factors, on a curve fitted to
 
 Null and empty texts are scored like any other (all statistics zero).  Each row is scored by itself, so ties, repeated
 rows and null ids (never held out) need no rule.  With fewer than two documents of a class the score is the smoothed share
-of good documents.  Other columns are not read.
+of good documents.  Statistics are taken over whole texts, however long, one text at a time.  Other columns are not read.
 """
 
 from __future__ import annotations

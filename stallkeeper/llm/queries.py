@@ -93,4 +93,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": oracle.CONTAMINATION,
+        "op11_pivot_clusters": oracle.CLUSTERS,
+        "op12_prefix_trie": oracle.TRIE,
     }

@@ -11,7 +11,7 @@ is its p-value.  Within each band of lengths, p-values go through Benjamini and
 candidates of the corpus, on a histogram of their logarithms, so that long strings do not vouch for short ones.
 
 Null text is empty.  Positions are code points, the end exclusive.  Rows that repeat a doc_id are scanned each by its
-own text; equal rows get equal results.  Columns other than doc_id and text are not read.  DataFrame functions only.
+own text; equal rows get equal results.  Texts are scanned whole; a text with very many matches costs their square.  Columns other than doc_id and text are not read.  DataFrame functions only.
 """
 
 from __future__ import annotations

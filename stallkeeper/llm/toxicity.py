@@ -8,7 +8,8 @@ the word's place and scores nothing.
 
 Null and empty texts have no hits and get the score of a text without words.  Each row is scored by itself, so
 ties, repeated rows and null ids (never held out) need no rule.  Without any usable label, or with labels of one class
-only, the score is the smoothed share of that class for all.  Other columns are not read.
+only, the score is the smoothed share of that class for all.  Whole texts are matched, however long; the curve goes by their length.  Other columns
+are not read.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from stallkeeper.llm import jaccard_join, quality
+from stallkeeper.llm import quality
 from stallkeeper.session import stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,7 +35,10 @@ def test_each_stage_on_its_own_input(spark, stages):
     ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
     model = quality.fit(docs, table(spark, SF_DIR, "labels"))
     assert ids(good) == ids(quality.quality_scores(docs, model).filter("predicted = 1"))
-    assert ids(distinct) == ids(jaccard_join.jaccard_classes(good).filter("doc_id = component_id"))
+    from tests.llm.test_near_duplicates import linked, shingles, smallest
+
+    sets = {r["doc_id"]: shingles(r["text"]) for r in good.collect()}
+    assert ids(distinct) == {i for i, low in smallest(linked(sets), sets).items() if i == low}
     from tests.llm.test_text_search import base_spans, contaminated
 
     texts = [(r["doc_id"], r["text"]) for r in distinct.collect()]
@@ -50,3 +53,17 @@ def test_each_stage_on_its_own_input(spark, stages):
     own = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     last = {r["doc_id"]: r["text"] for r in blotted.collect()}
     assert {r["doc_id"]: r["ids"] for r in encoded.collect()} == {i: own.encode(t) for i, t in last.items()}
+
+
+@pytest.mark.parametrize("name,step", corpus_pipeline.STAGES)
+def test_odd_rows_and_empty_tables(spark, documents, odd, name, step):
+    """Null and empty texts, repeated rows and rows without id pass every stage; columns with clashing names stay."""
+    docs = documents([*odd, (50, "plain words of a clean text")])
+    out = step(spark, docs, SF_DIR)
+    kept = out.collect()
+    assert len(kept) <= len(odd) + 1 and {r["doc_id"] for r in kept} <= {1, 2, 3, 4, 5, 50, None}
+    if (name, step) != corpus_pipeline.STAGES[-1]:
+        assert out.columns == docs.columns
+    if name not in (corpus_pipeline.STAGES[0][0], corpus_pipeline.STAGES[1][0]):
+        assert len(kept) == len(odd) + 1
+    assert step(spark, documents([]), SF_DIR).count() == 0
