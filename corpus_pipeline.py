@@ -1,6 +1,10 @@
 """Corpus pipeline: quality, near duplicates, contamination, secrets, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept.
+
+Null and empty texts are scored as such, hold no words, passages or secrets and no near copies, and are encoded as no ids.  Rows without doc_id are in no
+near-duplicate group; rows that repeat a doc_id are judged by their own texts and leave or stay each.  An empty table gives empty tables, and
+further columns are carried through all stages but the last.
 """
 
 from __future__ import annotations
