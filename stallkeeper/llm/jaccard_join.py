@@ -10,7 +10,8 @@ those prefixes as well are dropped.  What is left is verified on the whole sets.
 The result is a class for each document, not all pairs.  In a few linear rounds each set meets one earlier set of its
 token groups and the classes of verified links are merged.  After that the pairs of *different* classes within a
 token group are all compared, so no link is lost, while a group of near copies, by then one class, makes no pairs.  Parity
-bitmaps in that join's condition bound the difference of two sets from below, so copies edited too much make none either.
+bitmaps in that join's condition bound the difference of two sets from below, so copies edited too much make none either, and a pair
+that shares one of the last few tokens before the one it meets at has met there and is left out.
 
 Null and empty texts, and texts without words, have no shingles and link with nothing; rows without doc_id have no
 links either.  Whole texts are cut into shingles, however long.  Tokens of equal number follow each other by hash, and the smallest doc_id names
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
 from .common import components, slices, small_side
@@ -37,6 +38,7 @@ COMMON_TOKENS = 1_000_000
 COMMON_FROM = 16
 LINEAR_ROUNDS = 3
 SLICE = 1_000_000  # characters that a worker handles at once
+EARLIER = 4  # tokens before one that tell whether a pair has met
 WORDS = 6  # parity bitmaps of 384 bits: they travel with each row of the last join
 _BASE = np.uint64(0x9E6C63D0876A9A35)
 
@@ -245,13 +247,21 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     grouped = _with_class(posts, classes)
     mixed = grouped.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     words = [F.element_at("bits", w + 1).alias(f"w{w}") for w in range(WORDS)]
-    open_ = stage(grouped.join(mixed.select("token"), "token").join(sets.select("key", *words), "key"), "open")
-    side = lambda s: open_.select("token", F.struct("key", "size", "pos", "class", *[f"w{w}" for w in range(WORDS)]).alias(s))
+    own = Window.partitionBy("key").orderBy("pos")
+    earlier = [F.lag("token", k).over(own).alias(f"e{k}") for k in range(1, EARLIER + 1)]
+    open_ = stage(grouped.join(mixed.select("token"), "token").join(sets.select("key", *words), "key").select("*", *earlier), "open")
+    carried = ["key", "size", "pos", "class", *[f"w{w}" for w in range(WORDS)], *[f"e{k}" for k in range(1, EARLIER + 1)]]
+    side = lambda s: open_.select("token", F.struct(*carried).alias(s))
     differ = sum((F.bit_count(F.col(f"x.w{w}").bitwiseXOR(F.col(f"y.w{w}"))) for w in range(WORDS)), F.lit(0))
     # two sets that share enough differ in at most this many tokens
     apart = (F.col("x.size") + F.col("y.size")) * (100 - percent) / (100 + percent)
+    # a pair that shares an earlier token passes the bounds there as well, so it need not be met again
+    again = F.lit(False)
+    for i in range(1, EARLIER + 1):
+        for j in range(1, EARLIER + 1):
+            again |= F.coalesce(F.col(f"x.e{i}") == F.col(f"y.e{j}"), F.lit(False))
     pairs = side("x").join(side("y"), "token").filter(
-        (F.col("x.class") < F.col("y.class")) & _possible("x", "y", percent) & (differ <= apart + 1e-9)
+        (F.col("x.class") < F.col("y.class")) & _possible("x", "y", percent) & ~again & (differ <= apart + 1e-9)
     ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     found = _verified(pairs, sets, percent)
     links = found if links is None else links.unionByName(found)
