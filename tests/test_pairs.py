@@ -4,10 +4,13 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
 
 from stallkeeper.functions import text
-from stallkeeper.operators.simjoin import jaccard_join
+from stallkeeper.operators import simjoin
+from stallkeeper.operators.simjoin import in_cells, jaccard_join
 from stallkeeper.plans import analytics, features
+from stallkeeper.session import stage
 
 
 def people(spark):
@@ -116,3 +119,25 @@ def test_all_copurchase_pairs_match_brute_force(spark):
     got = {(r["anchor_id"], r["partner_id"]): (r["together"], r["confidence"], r["lift"]) for r in features.copurchase_pairs(
         spark.createDataFrame(rows, "order_id long, product_id string"), 3).collect()}
     assert got == {(a, b): (n, n / sold[a], n * len(baskets) / (sold[a] * sold[b])) for (a, b), n in pairs.items() if n >= 3}
+
+
+def test_a_set_travels_once_to_each_cell_not_once_with_each_pair(spark):
+    pairs = stage(spark.createDataFrame(list(itertools.combinations(range(60), 2)), "a long, b long"), "pairs")
+    sets = spark.createDataFrame([(i, ["x" * 50, f"w{i}"]) for i in range(60)], "rep long, tokens array<string>")
+
+    def sizes(p, s):
+        return pa.table({"pairs": [p.num_rows], "sets": [s.num_rows], "different": [len(set(s["rep"].to_pylist()))]})
+
+    rows = in_cells(pairs, sets, 20, sizes, "pairs long, sets long, different long").collect()
+    assert len(rows) <= 9 and sum(r["pairs"] for r in rows) == 1770
+    assert all(r["sets"] == r["different"] for r in rows) and sum(r["sets"] for r in rows) <= 2 * 3 * 60
+
+
+def test_many_near_copies_in_small_cells_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(simjoin, "BITMAP_BLOCK", 8)
+    monkeypatch.setattr(simjoin, "TOKEN_BLOCK", 3)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(w for k, w in enumerate(words) if k % 11 != i % 11) + f" own{i}" for i in range(40)]
+    sets = [set(t.split()) for t in texts]
+    _, found = similar(spark, texts, 5)
+    assert found == {(a, b): jaccard(sets[a], sets[b]) for a, b in itertools.combinations(range(40), 2) if jaccard(sets[a], sets[b]) > 0.5}
