@@ -141,3 +141,9 @@ def test_many_near_copies_in_small_cells_match_brute_force(spark, monkeypatch):
     sets = [set(t.split()) for t in texts]
     _, found = similar(spark, texts, 5)
     assert found == {(a, b): jaccard(sets[a], sets[b]) for a, b in itertools.combinations(range(40), 2) if jaccard(sets[a], sets[b]) > 0.5}
+
+
+def test_word_counts_compare_plain_words():
+    """Entries of places or counts are only sorted where their order is asked for, and never by a compare function."""
+    assert "array_sort" not in text.similarity_v2("a", "b") + text.keywords("a", "v2")
+    assert "sort_array(regexp_extract_all" in text.similarity_v2("a", "b")
