@@ -9,7 +9,7 @@ import pyarrow as pa
 from stallkeeper.functions import text
 from stallkeeper.operators import simjoin
 from stallkeeper.operators.simjoin import in_cells, jaccard_join
-from stallkeeper.plans import analytics, features
+from stallkeeper.plans import analytics, features, text_jobs
 from stallkeeper.session import stage
 
 
@@ -147,3 +147,12 @@ def test_word_counts_compare_plain_words():
     """Entries of places or counts are only sorted where their order is asked for, and never by a compare function."""
     assert "array_sort" not in text.similarity_v2("a", "b") + text.keywords("a", "v2")
     assert "sort_array(regexp_extract_all" in text.similarity_v2("a", "b")
+
+
+def test_pair_scores_move_a_row_for_a_document_not_for_a_word(spark):
+    docs = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, None), (4, "!"), (5, "c"), (5, "b")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (2, 3), (3, 4), (2, 5), (5, 9)], "doc_a long, doc_b long")
+    scored = text_jobs.text_similarity_pairs(docs, pairs, "v2")
+    assert "explode(regexp" not in scored._jdf.queryExecution().toString() and len(scored.collect()) == 5
+    got = {(r["doc_a"], r["doc_b"]): r["similarity"] for r in scored.collect()}
+    assert got == {(1, 2): round(2 * 2 / (5 ** 0.5 * 2 ** 0.5), 4), (2, 3): 0.0, (3, 4): 0.0, (2, 5): 1.0}
