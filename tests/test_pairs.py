@@ -149,6 +149,14 @@ def test_word_counts_compare_plain_words():
     assert "sort_array(regexp_extract_all" in text.similarity_v2("a", "b")
 
 
+def test_each_text_is_cut_into_words_once_for_a_score(spark):
+    assert text.similarity_v1("a", "b").count("regexp_extract_all") == 2
+    rows = [(1, "a b b", "b c"), (2, None, "x"), (3, "", ""), (4, "!", "a"), (5, "A a", "a"), (6, "x", None)]
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    got = {r["i"]: r["s"] for r in df.selectExpr("i", f"{text.similarity_v1('a', 'b')} s").collect()}
+    assert got == {1: 1 / 3, 2: 0.0, 3: 0.0, 4: 0.0, 5: 1.0, 6: 0.0}
+
+
 def test_pair_scores_move_a_row_for_a_document_not_for_a_word(spark):
     docs = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, None), (4, "!"), (5, "c"), (5, "b")], "doc_id long, text string")
     pairs = spark.createDataFrame([(1, 2), (1, 2), (2, 3), (3, 4), (2, 5), (5, 9)], "doc_a long, doc_b long")
