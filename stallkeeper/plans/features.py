@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import count_if, dbl, label, mean, pct, ratio
-from ..session import stage
+from ..session import TASK_ROWS, parts_for, stage
 from .analytics import product_order_facts, profit, spend_by_customer
 
 
@@ -164,18 +164,27 @@ def block_pairs(blocked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
-def copurchase_pairs(items: DataFrame, min_together: int = 2, block: int = BASKET_BLOCK) -> DataFrame:
+def copurchase_pairs(items: DataFrame, min_together: int = 2, block: int = BASKET_BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
     """All pairs of products bought together at least ``min_together`` times: support, confidence and lift.
 
     Products sold in fewer baskets cannot reach that and leave before the join.  Each unordered pair of a basket is
-    formed once, by the pair of blocks its products lie in, and counted before the shuffle; the result has both directions.
+    formed once, by the pair of blocks its products lie in; the result has both directions.  Lines and pairs are dealt to
+    as many tasks as their numbers ask for, so that what a task holds does not grow with the table.
     """
-    lines = stage(items.select("order_id", "product_id").distinct(), "lines")
-    baskets = lines.agg(F.countDistinct("order_id")).scalar()
+    width = parts_for(items.sparkSession, items.count(), task_rows)
+    by_order = lambda df: df.repartition(width, "order_id")  # noqa: E731  baskets are as many as orders: never grouped by a whole file
+    lines = stage(by_order(items.select("order_id", "product_id")).distinct(), "lines")
+    baskets = by_order(lines.select("order_id")).distinct().agg(F.count("order_id")).scalar()
     sold = lines.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min_together)
-    a, b = block_pairs(stage(basket_blocks(lines.join(sold.select("product_id"), "product_id", "left_semi"), block), "blocks"))
-    together = a.join(b, ["order_id", "i", "j"]).filter("i < j or a < b").groupBy(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("together")).filter(F.col("together") >= min_together)
+    blocked = stage(basket_blocks(by_order(lines.join(sold.select("product_id"), "product_id", "left_semi")), block), "blocks")
+    a, b = block_pairs(blocked)
+    # an upper bound of the pairs: every two lines of a basket
+    size = by_order(blocked.select("order_id")).groupBy("order_id").agg(F.count("*").alias("n"))
+    rows, pairs = size.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0))).first()
+    parts = parts_for(items.sparkSession, max(rows, pairs), task_rows)
+    cell = ["order_id", "i", "j"]
+    met = a.repartition(parts, *cell).join(b.repartition(parts, *cell), cell).filter("i < j or a < b")
+    together = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).repartition(parts, "a", "b").groupBy("a", "b").agg(F.count("*").alias("together")).filter(F.col("together") >= min_together)
     both = together.select("together", F.explode(F.array(F.struct(F.col("a").alias("anchor_id"), F.col("b").alias("partner_id")),
                                                          F.struct(F.col("b").alias("anchor_id"), F.col("a").alias("partner_id")))).alias("p"))
     return (

@@ -10,7 +10,7 @@ from stallkeeper.functions import text
 from stallkeeper.operators import simjoin
 from stallkeeper.operators.simjoin import in_cells, jaccard_join
 from stallkeeper.plans import analytics, features, text_jobs
-from stallkeeper.session import stage
+from stallkeeper.session import parts_for, stage
 
 
 def people(spark):
@@ -164,3 +164,13 @@ def test_pair_scores_move_a_row_for_a_document_not_for_a_word(spark):
     assert "explode(regexp" not in scored._jdf.queryExecution().toString() and len(scored.collect()) == 5
     got = {(r["doc_a"], r["doc_b"]): r["similarity"] for r in scored.collect()}
     assert got == {(1, 2): round(2 * 2 / (5 ** 0.5 * 2 ** 0.5), 4), (2, 3): 0.0, (3, 4): 0.0, (2, 5): 1.0}
+
+
+def test_more_baskets_and_pairs_get_more_tasks(spark):
+    lines = [(o, p) for o in range(200) for p in range(o % 4)]
+    df = spark.createDataFrame(lines + [(None, 1), (None, 2)], "order_id long, product_id long")
+    few, many = features.copurchase_pairs(df), features.copurchase_pairs(df, task_rows=20)
+    assert sorted(few.collect()) == sorted(many.collect())
+    assert {r["together"] for r in many.collect()} == {100, 50} and parts_for(spark, 10**8) == 100
+    # no task groups more baskets or pairs than its share
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().toString()
