@@ -8,6 +8,7 @@ from ..functions.numbers import count_if, dbl, label, mean, ratio, total
 from ..operators.ordered import (
     BLOCK_ROWS, ntile, number_rows, running_and_neighbours, with_next, with_ranks,
 )
+from ..session import TASK_ROWS, parts_for
 
 
 def full_name(first: str | Column = "first_name", last: str | Column = "last_name") -> Column:
@@ -87,22 +88,29 @@ def running_and_moving(orders: DataFrame, from_ds: str, block_rows: int = BLOCK_
     )
 
 
-def product_order_facts(items: DataFrame, orders: DataFrame) -> DataFrame:
+def product_order_facts(items: DataFrame, orders: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Sales per product.
 
     Sums are partially aggregated in the scan, so only one row per product
     and map task is shuffled.  Only (product, order) keys travel to the join
-    with orders; a best-seller is spread over its orders there.
+    with orders; a best-seller is spread over its orders there and over its
+    customers behind it.  These keys are dealt to as many tasks as their
+    number asks for: a few bytes each, Spark would pack millions of them into
+    one task, whose sorts and hash tables then go to disk.
     """
     sums = items.groupBy("product_id").agg(
         F.sum("quantity").alias("quantity"), F.sum("line_total").alias("revenue"),
         ratio(F.sum("unit_price"), F.count("unit_price")).alias("avg_price"),
     )
+    parts = parts_for(items.sparkSession, items.count(), task_rows)
     # one customer per order; orders missing from the table leave NULL
-    buyers = orders.groupBy("order_id").agg(F.max("customer_id").alias("customer_id")).withColumn("known", F.lit(True))
-    links = items.select("product_id", "order_id").distinct().join(buyers, "order_id", "left")
-    reach = links.groupBy("product_id").agg(
-        count_if(F.col("known")).alias("orders_count"), F.countDistinct("customer_id").alias("unique_customers"))
+    buyers = orders.select("order_id", "customer_id").repartition(parts, "order_id").groupBy("order_id").agg(
+        F.max("customer_id").alias("customer_id")).withColumn("known", F.lit(True))
+    lines = items.select("product_id", "order_id").repartition(parts, "product_id", "order_id").distinct()
+    links = lines.repartition(parts, "order_id").join(buyers, "order_id", "left").select("product_id", "customer_id", "known")
+    # one row per product and customer
+    met = links.repartition(parts, "product_id", "customer_id").groupBy("product_id", "customer_id").agg(count_if(F.col("known")).alias("orders"))
+    reach = met.groupBy("product_id").agg(F.sum("orders").alias("orders_count"), F.count("customer_id").alias("unique_customers"))
     return sums.join(reach, "product_id")
 
 
