@@ -7,9 +7,12 @@ newest manifest names, and a run becomes visible, with all its tables, when its
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ..session import parts_for
 from .schemas import LAYERS, schema_of
 from .tables import bind_schema, conform
 
@@ -31,15 +34,22 @@ def create_layers(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     return made
 
 
-def load_layer(df: DataFrame, root: str, layer: str, table: str) -> int:
+def load_layer(df: DataFrame, root: str, layer: str, table: str, rows: int = 0, key: str | None = None,
+               shape: Callable[[DataFrame], DataFrame] = lambda moved: moved) -> int:
     """Load declared columns by name and return the number of rows, counted while they are written.
 
-    A table with ``ds`` has the folders of the loaded days replaced; a day with most of the rows is written by several tasks.
+    A table with ``ds`` has the folders of the loaded days replaced; a day with most of the rows is written by several tasks.  ``rows``, how many
+    there are at most, and a ``key`` deal them in ranges of days and keys, a million to a task, so that the writer's sort by day stays small.
+    Rows travel as they are given; ``shape`` and the casts to the declared types are applied where they are written.
     """
-    rows = Observation()
-    out = bind_schema(df, schema_of(layer, table))
-    _write(out.hint("rebalance", "ds") if by_day(layer, table) else out, f"{root}/{layer}/{table}", by_day(layer, table), rows)
-    return rows.get["rows"]
+    seen = Observation()
+    days = by_day(layer, table)
+    if days and key:
+        df = df.repartitionByRange(parts_for(df.sparkSession, rows), "ds", key)
+    elif days and "ds" in df.columns:
+        df = df.hint("rebalance", "ds")
+    _write(bind_schema(shape(df), schema_of(layer, table)), f"{root}/{layer}/{table}", days, seen)
+    return seen.get["rows"]
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
