@@ -102,6 +102,43 @@ def test_texts_with_many_own_shingles_meet_no_one(documents, monkeypatch):
     assert max(seen) <= 2
 
 
+def test_word_hashes_do_not_depend_on_place_or_case():
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abc\u00e9\u4e2d", k=rng.randint(1, 9))).encode() for _ in range(3000)} | {b"x" * (jaccard_join.PLACES + 3)})
+    starts, codes = jaccard_join.word_codes(np.frombuffer(b" \t".join(words), np.uint8))
+    assert len(starts) == len(words) == len(set(codes.tolist()))
+    for w, code in zip(words[::100] + words[-1:], codes[::100].tolist() + codes[-1:].tolist(), strict=True):
+        for before in (1, jaccard_join.PLACES - 2):
+            assert jaccard_join.word_codes(np.frombuffer(b" " * before + w.upper() + b"\n", np.uint8))[1].tolist() == [code]
+    assert [len(s) for s in jaccard_join.shingle_sets(["", " \n", "a B", "a b c d e", "A b c d e a b c d e", "a"], 5)] == [0, 0, 1, 1, 5, 1]
+
+
+def test_common_tokens_are_counted_over_all_ranges(documents):
+    docs = documents([(i, "one two three four five six" if i < 20 else f"w{i} b{i} c d e f{i}") for i in range(40)]).repartition(5)
+    both = next(jaccard_join.shingle_sets(["one two three four five six"], 5))
+    for bits in (1, 10):
+        got = {r["token"]: r["n"] for r in jaccard_join._counts(docs, 5, bits).collect()}
+        assert got == {int(t) >> (32 - bits): 20 for t in both}
+
+
+def test_large_classes_of_near_copies_become_one_before_pairs_are_made(documents, monkeypatch):
+    """Two crowds of near copies that only a chain of members links leave no pairs of their members."""
+    rng = random.Random(4)
+    base = [f"v{k}" for k in range(160)]
+    docs = []
+    for i in range(240):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            w[rng.randrange(len(w))] = f"e{rng.random()}"
+        docs.append((i, " ".join(w)))
+    sets = {i: shingles(t) for i, t in docs}
+    seen = []
+    plain = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: (seen.append(pairs.count()), plain(pairs, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_classes(documents(docs)).collect()}
+    assert got == smallest(linked(sets), sets) and max(seen) <= 20 * len(docs)
+
+
 def test_odd_rows_and_empty_table(documents, odd):
     got = jaccard_join.jaccard_classes(documents(odd)).collect()
     assert len(got) == len(odd)
