@@ -8,7 +8,8 @@ two terms within a distance from the same lists.
 
 Terms are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.  Index keys are lower-cased word by word by all of
 Unicode's rules, which never parts equal words (in a whole text a sigma would follow its neighbours); the comparison at the end uses the words themselves.  The lists a
-phrase set can ask for are known beforehand (a few rarest terms for each window), so only those are stored.
+phrase set can ask for are known beforehand (a few rarest terms for each window), so only those are stored.  Texts are cut into words once:
+counts, postings and numbers of words come from the staged lists of terms.
 
 Null and empty texts have no words; documents without words have 0 hits.  A benchmark row without text
 has no windows, one without item_id hits words but is not listed.  Rows that repeat a doc_id have a row each, judged by
@@ -47,16 +48,24 @@ def windows(benchmark: DataFrame, size: int = 13) -> DataFrame:
     return listed.select("item_id", F.explode(starts).alias("s"), "w").select("item_id", F.slice("w", F.col("s"), size).alias("phrase")).distinct()
 
 
-def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(term, n): occurrences in all documents of the terms in ``vocabulary``."""
-    tokens = _own(docs).select(F.explode(raw_words("text")).alias("term")).select(F.lower("term").alias("term"))
+def term_lists(docs: DataFrame) -> DataFrame:
+    """Staged (doc_id, version, terms): the terms of each row in order, so that its text is cut into words once."""
+    return stage(_own(docs).select("doc_id", F.xxhash64("text").alias("version"), F.transform(raw_words("text"), F.lower).alias("terms")), "terms")
+
+
+def term_counts(lists: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(term, n): occurrences in all ``term_lists`` of the terms in ``vocabulary``."""
+    tokens = lists.select(F.explode("terms").alias("term"))
     return tokens.join(small_side(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Staged postings (term, doc_id, version, pos), of all terms or of those in ``terms``."""
-    tokens = _own(docs).select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(raw_words("text")).alias("pos", "term")).withColumn(
-        "term", F.lower("term"))
+    return _postings(term_lists(docs), terms)
+
+
+def _postings(lists: DataFrame, terms: DataFrame | None) -> DataFrame:
+    tokens = lists.select("doc_id", "version", F.posexplode("terms").alias("pos", "term"))
     if terms is not None:
         tokens = tokens.join(small_side(terms), "term", "left_semi")
     return stage(tokens.select("term", "doc_id", "version", "pos"), "postings")
@@ -98,12 +107,16 @@ def candidate_starts(index: DataFrame, keys: DataFrame, ranks: int) -> DataFrame
     return full.select("phrase_id", "doc_id", "version", "start").unionByName(alone)
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, keys: int = 3) -> DataFrame:
-    """(phrase_id, doc_id, version, start, length): every occurrence of ``phrases`` (phrase_id, phrase) in the texts."""
+def phrase_matches(docs: DataFrame, phrases: DataFrame, keys: int = 3, lists: DataFrame | None = None) -> DataFrame:
+    """(phrase_id, doc_id, version, start, length): every occurrence of ``phrases`` (phrase_id, phrase) in the texts.
+
+    ``lists`` are the ``term_lists`` of the documents, if the caller has them.
+    """
+    lists = term_lists(docs) if lists is None else lists
     vocabulary = stage(phrases.select(F.explode("phrase").alias("word")).select(F.lower("word").alias("term")).distinct(), "vocabulary")
-    counts = stage(term_counts(docs, vocabulary), "counts")
+    counts = stage(term_counts(lists, vocabulary), "counts")
     chosen = anchors(phrases, counts, keys)
-    index = build_index(docs, stage(chosen.select("term").distinct(), "terms"))
+    index = _postings(lists, stage(chosen.select("term").distinct(), "terms"))
     starts = stage(candidate_starts(index, chosen, keys).distinct(), "starts")
     met = small_side(stage(starts.select("doc_id").distinct(), "met"))
     texts = _own(docs)
@@ -134,7 +147,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     listed = stage(windows(benchmark, size), "windows")
     phrases = stage(listed.groupBy("phrase").agg(F.min("item_id").alias("one")).select(
         F.sha2(F.concat_ws(" ", "phrase"), 256).alias("phrase_id"), "phrase"), "phrases")
-    found = stage(phrase_matches(docs, phrases, keys), "found")
+    lists = term_lists(docs)
+    found = stage(phrase_matches(docs, phrases, keys, lists), "found")
 
     # words inside any match: starts in order, each adds what reaches beyond all before it
     reach = found.groupBy("doc_id", "version", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
@@ -148,7 +162,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     judged = hits.join(items, hits.doc_id.eqNullSafe(items.doc_id) & (hits.version == items.version), "left").select(
         hits.doc_id.alias("d"), hits.version.alias("v"), "n_hit", "items")
 
-    rows = _own(docs).select("doc_id", F.xxhash64("text").alias("version"), F.size(raw_words(F.col("text"))).cast("bigint").alias("n_words"))
+    rows = lists.select("doc_id", "version", F.size("terms").cast("bigint").alias("n_words"))
     out = rows.join(judged, rows.doc_id.eqNullSafe(F.col("d")) & (rows.version == F.col("v")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     listed_items = F.coalesce("items", F.array().cast("array<string>"))

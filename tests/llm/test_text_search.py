@@ -218,3 +218,13 @@ def test_parts_of_a_passage_held_by_different_documents(documents):
         few = [(k, t[:60]) for k, t in docs]
         assert sorted((r["doc_id"], r["start"], r["end"]) for r in chunk_dedup.repeated_passages(
             documents(few), min_words=size).collect()) == shared_runs(few, size)
+
+
+def test_texts_are_cut_into_words_once(documents, monkeypatch):
+    cuts = []
+    plain = decontaminate.raw_words
+    monkeypatch.setattr(decontaminate, "raw_words", lambda text: (cuts.append(1), plain(text))[1])
+    bench = documents([(1, "x")]).sparkSession.createDataFrame([("i", "Alpha beta")], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in decontaminate.contamination(
+        documents([(1, "an ALPHA beta \u0130x 9"), (2, None), (3, "beta alpha")]), bench).collect()}
+    assert got == {1: (5, 2), 2: (0, 0), 3: (2, 0)} and len(cuts) == 1
