@@ -13,12 +13,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stallkeeper.llm import decontaminate, jaccard_join, lattice, quality, secret_scan
-from stallkeeper.llm.common import table
+from stallkeeper.llm.common import bounded_batches, table
 from stallkeeper.session import stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    bounded_batches(spark)
     return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 

@@ -29,8 +29,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import stage
-from .common import components, slices, small_side
+from ..session import stage, stage_last
+from .common import bounded_batches, components, slices, small_side
 
 #: Common tokens that steer the order: at most this many, so the table sent to all executors has at most 16 MB.
 COMMON_TOKENS = 1_000_000
@@ -278,6 +278,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = _digests(slim, k)
     reps = stage(rows.filter("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "reps")
@@ -363,7 +364,7 @@ def _merged(classes: DataFrame | None, found: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest of their class, all columns; rows without doc_id stay."""
-    keep = stage(jaccard_classes(docs, k, percent).filter("doc_id = component_id").select(
+    keep = stage_last(lambda: jaccard_classes(docs, k, percent).filter("doc_id = component_id").select(
         F.col("doc_id").alias("_kept")).distinct(), "kept")
     mine = F.col("doc_id").cast("bigint")
     return docs.join(small_side(keep), mine == F.col("_kept"), "left").filter(mine.isNull() | F.col("_kept").isNotNull()).select(*docs.columns)

@@ -67,3 +67,37 @@ def test_odd_rows_and_empty_tables(spark, documents, odd, name, step):
     if name not in (corpus_pipeline.STAGES[0][0], corpus_pipeline.STAGES[1][0]):
         assert len(kept) == len(odd) + 1
     assert step(spark, documents([]), SF_DIR).count() == 0
+
+
+def test_texts_go_to_the_workers_in_small_batches(spark, documents):
+    import pyarrow as pa
+
+    from stallkeeper.llm.common import BATCH_KEY
+
+    rows = documents([(i, f"text number {i} of many") for i in range(3_000)]).coalesce(1).select("doc_id", "text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    for _, step in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[-1:]:
+        spark.conf.unset(BATCH_KEY)
+        step(spark, documents([(1, "one"), (2, "two")]), SF_DIR)
+        assert [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()] == [1_000] * 3
+    spark.conf.set(BATCH_KEY, "2500")  # the caller's own number stays
+    corpus_pipeline.encoded(spark, documents([(1, "one")]), SF_DIR)
+    assert max(r["n"] for r in rows.mapInArrow(sizes, "n long").collect()) == 2_500
+    spark.conf.unset(BATCH_KEY)
+
+
+def test_near_duplicates_leave_no_tables_behind(spark, documents):
+    import os
+
+    from stallkeeper.session import staging_root
+
+    root = staging_root(spark).removeprefix("file://")
+    rows = [(i, f"one two three four five six seven eight nine ten {'end' * (i % 2)}") for i in range(8)]
+    before = set(os.listdir(root))
+    out = corpus_pipeline.distinct_documents(spark, documents(rows), SF_DIR)
+    assert [x.split("-")[0] for x in set(os.listdir(root)) - before] == ["kept"]
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 1] or len(out.collect()) == 1
