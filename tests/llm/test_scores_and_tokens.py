@@ -1,6 +1,7 @@
 """Classifiers on held-out rows, token counts, encodings and token files."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -161,6 +162,44 @@ def test_copies_and_full_partitions_fill_several_blocks(spark, documents):
     assert len(got) == 410 and sum(r["ids"] == own.encode(same) for r in got) == 300 and all(r["round_trip"] for r in got)
 
 
+def test_words_are_shuffled_once_and_texts_never(documents, capsys):
+    docs = documents([(i, f"some words {i} of a text") for i in range(50)])
+    lattice.encode(docs, MODEL).explain()
+    plan = capsys.readouterr().out
+    assert len(re.findall(r"hashpartitioning\([^)]*\bword#", plan)) <= 1 and not re.search(r"Exchange hash[^\n]*\n[^\n]*Project \[[^\n]*text#", plan)
+
+
+def test_one_pass_gives_what_the_steps_give(spark):
+    own, rng = lattice.pieces(MODEL), random.Random(8)
+    odd = own.unordered()
+    assert odd == {p for p in odd if set(p) == {"▁"}}  # the runs of blanks share a score
+    names = [p for p, _, _ in own.rows if "▁" not in p]
+    words = {"▁" + "".join(rng.choices(names, k=3))[:63] for _ in range(300)} | {"▁" * 20 + "ab", "x" * 64, "▁été", "中" * 30, "▁a\u0e01b"}
+    table = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    n = F.length("word")
+    graph = lattice._merge_edges(table.withColumn("places", F.array(F.lit(1).cast("long"))), MODEL, 64)
+    got = graph.filter(n < 64).select("odd", lattice._one_pass(n).alias("x"), lattice._by_steps(n).alias("y")).collect()
+    assert len(got) == sum(len(w) < 64 for w in words) and all(r["odd"] or r["x"] == r["y"] for r in got) and sum(r["odd"] for r in got) == 1
+    lib = sp()
+    want = {w: lib.encode(w[1:].replace("▁", " ")) if w[0] == "▁" else lib.encode("\n" + w)[2:] for w in words}
+    assert {r["word"]: r["ids"] for r in lattice.encode_words(table, MODEL).collect()} == want
+
+
+def test_blocks_read_otherwise_the_second_time(documents):
+    texts = [(i, t) for i, t in enumerate(noise(40)) if t]
+    slim = documents(texts).select("doc_id", "text").coalesce(1)
+    schema = "block long, doc_id long, marks binary, ids array<int>, round_trip boolean"
+    got = slim.mapInArrow(lattice._marked(MODEL, 10_000_000, {0: "other words"}), schema).collect()
+    own = sp()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: own.encode(t) for i, t in texts} and all(r["marks"] is None and r["round_trip"] for r in got)
+
+
+def test_numbers_of_all_widths_are_packed():
+    x = np.array([0, 127, 128, 16_383, 16_384, 2_097_151, 2_097_152, (1 << 28) - 1])
+    data, ends = lattice._packed(x)
+    assert lattice._unpacked(data.tobytes()).tolist() == x.tolist() and np.diff(ends, prepend=0).tolist() == [1, 1, 2, 2, 3, 3, 4, 4]
+
+
 def test_viterbi_fold_is_the_best_path(spark):
     scores = {p: s for p, _, s in lattice.pieces(MODEL).rows}
     names = {i: p for p, i, _ in lattice.pieces(MODEL).rows}
