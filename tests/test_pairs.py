@@ -5,6 +5,7 @@ import random
 import re
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from stallkeeper.functions import text
 from stallkeeper.operators import simjoin
@@ -143,6 +144,44 @@ def test_many_near_copies_in_small_cells_match_brute_force(spark, monkeypatch):
     assert found == {(a, b): jaccard(sets[a], sets[b]) for a, b in itertools.combinations(range(40), 2) if jaccard(sets[a], sets[b]) > 0.5}
 
 
+def test_tokens_and_pairs_that_only_share_some_are_not_written(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(rng.sample([f"w{i}" for i in range(200)], 20)) for _ in range(120)]
+    texts += [texts[0] + " one", texts[0] + " two"]
+    rows = {}
+
+    def counted(df, label):
+        out = stage(df, label)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(simjoin, "stage", counted)
+    _, found = similar(spark, texts, 20_000)
+    assert found == {(0, 120): 20 / 21, (0, 121): 20 / 21, (120, 121): 20 / 22}
+    assert rows and max(rows.values()) <= len(texts), rows
+
+
+def test_sets_meet_across_blocks_and_tokens_of_one_number_cost_no_pair(spark, monkeypatch):
+    whole = simjoin.token_codes
+    monkeypatch.setattr(simjoin, "token_codes", lambda *a: whole(*a).withColumn("codes", F.transform("codes", lambda x: F.pmod(x, F.lit(16)))))
+    for name, small in {"BLOCK_TOKENS": 60, "LEAST_TOKENS": 20, "MEET": 7, "WORDS": 64, "COMMON_FROM": 3}.items():
+        monkeypatch.setattr(simjoin, name, small)
+    rng = random.Random(8)
+    base = [rng.sample([f"w{i}" for i in range(90)], n) for n in (3, 8, 8, 20, 40, 70)]
+    texts = [" ".join([w for w in rng.choice(base) if rng.random() < 0.8] + [f"own{i}"]) for i in range(90)]
+    sets = [set(t.split()) for t in texts]
+    want = {(a, b): s for a, b in itertools.combinations(range(len(texts)), 2) if (s := jaccard(sets[a], sets[b])) > 0.5}
+    _, found = similar(spark, texts, 20_000)
+    assert len(want) > 100 and found == want
+
+
+def test_rows_that_come_twice_keep_their_pairs(spark):
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d f"), (3, "a b c d f"), (4, None), (5, "!"), (None, "a b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join(docs, "doc_id", text.tokens("text")).collect())
+    assert got == [(1, 2, 4 / 6, 3, 2), (2, 3, 1.0, 2, 2)]
+
+
 def test_word_counts_compare_plain_words():
     """Entries of places or counts are only sorted where their order is asked for, and never by a compare function."""
     assert "array_sort" not in text.similarity_v2("a", "b") + text.keywords("a", "v2")
